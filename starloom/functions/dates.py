@@ -33,7 +33,7 @@ def parse_iso_date(c: Column | str) -> Column:
 def parse_yyyymmdd(c: Column | str) -> Column:
     """Integer date code ``YYYYMMDD`` -> DATE; ``0``, ``32154``, ``20130231`` -> NULL."""
     c = _col(c)
-    return F.try_to_date(c.cast("string"), F.lit("yyyyMMdd"))
+    return F.try_to_date(c.cast("string"), "yyyyMMdd")
 
 
 def yyyymmdd_code(d: Column | str) -> Column:
