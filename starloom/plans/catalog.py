@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import clamp_future, parse_iso_date, parse_yyyymmdd
 from starloom.functions.text import head_tokens, std_upper, strip_ws
-from starloom.operators import conform, facts, scd2
+from starloom.operators import audit, conform, facts, incremental, scd2
 from starloom.operators.keys import assign_dense_keys, key_number, next_key_start
-from starloom.plans.context import Scenario
+from starloom.plans.batch import read_warehouse
+from starloom.plans.context import FEED_NAMES, Scenario, loaded_warehouse
+from starloom.session import scratch_path
+from starloom.sources import feeds as feeds_io
+from starloom.sources import schemas, tables
 from starloom.sources.derived import BATCH1_DATE, BATCH2_DATE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -328,3 +332,118 @@ def _lk_dates_ns(s: Scenario) -> DataFrame:
 def _fact_full(s: Scenario) -> DataFrame:
     """C4 (flagship): batch-1 fact with all lookups and SALES<n> keys."""
     return s.fact_batch_1()
+
+
+# ---- incremental loading -------------------------------------------------------------------------
+
+WATERMARK_TABLES = ["dim_customer", "dim_product", "dim_date", "fact_sales", "dim_store"]
+
+
+@query("watermark_read")
+def _wm_read(s: Scenario) -> DataFrame:
+    """Watermarks after batch 1 from the control log; unknown tables -> 1900-01-01."""
+    control = tables.read_control(s.spark, loaded_warehouse(s.spark, s.sf_dir))
+    return incremental.read_watermarks(control.where(F.col("version") <= 1), WATERMARK_TABLES)
+
+
+@query("watermark_advance")
+def _wm_advance(s: Scenario) -> DataFrame:
+    """Watermarks after batch 2 advanced to the max of what was loaded."""
+    control = tables.read_control(s.spark, loaded_warehouse(s.spark, s.sf_dir))
+    return incremental.read_watermarks(control, WATERMARK_TABLES)
+
+
+@query("scd2_load_filter_customer")
+def _dim_filter(s: Scenario) -> DataFrame:
+    """Reference dimension filter on a same-day rerun (watermark = D2):
+    changed versions stay, new members drop out."""
+    return incremental.dim_load_filter(s.customer_delta_2.opened, F.lit(BATCH2_DATE))
+
+
+@query("incremental_dates")
+def _inc_dates(s: Scenario) -> DataFrame:
+    """I2 reference mode: only dates after the batch-1 watermark (late dates lost)."""
+    rows = conform.dim_date_rows(s.feed("sales_details", 2))
+    wm = s.dim_date_1.agg(F.max("full_date")).scalar()
+    fresh = incremental.dates_after_watermark(rows, wm)
+    start = next_key_start(s.dim_date_1, "date_sk", "DATE")
+    return assign_dense_keys(fresh, conform.date_order(), "date_sk", "DATE", start)
+
+
+@query("incremental_dates_antijoin")
+def _inc_dates_anti(s: Scenario) -> DataFrame:
+    """I2 default: every date not yet loaded, keys continuing."""
+    return s.new_dates_2
+
+
+@query("incremental_fact_by_created")
+def _inc_fact_created(s: Scenario) -> DataFrame:
+    """Batch-2 facts after the created_date watermark (D1), keys after batch 1's."""
+    rows = incremental.fact_load_filter(s.fact_rows_2(), F.lit(BATCH1_DATE))
+    start = next_key_start(s.fact_1, "sales_sk", "SALES")
+    return assign_dense_keys(rows, facts.fact_order(), "sales_sk", "SALES", start)
+
+
+@query("incremental_fact_by_order_date")
+def _inc_fact_order(s: Scenario) -> DataFrame:
+    """I3 by order date (mapping-document variant): only sales ordered after the
+    latest order date of batch 1."""
+    wm = s.feed("sales_details", 1).agg(F.max(parse_yyyymmdd("sls_order_dt"))).scalar()
+    sales = s.feed("sales_details", 2)
+    sales = sales.where(parse_yyyymmdd("sls_order_dt") > wm)
+    return s.fact_rows_2(sales)
+
+
+@query("batch_audit")
+def _audit(s: Scenario) -> DataFrame:
+    """Row counts per table and stage for batch 2."""
+    frames = {(n, "extract"): s.feed(n, 2) for n in FEED_NAMES}
+    frames[("dim_customer", "transform")] = s.customer_delta_2.opened
+    frames[("dim_customer", "expire")] = s.customer_delta_2.closed
+    frames[("dim_product", "transform")] = s.product_delta_2.opened
+    frames[("dim_product", "expire")] = s.product_delta_2.closed
+    frames[("dim_date", "transform")] = conform.dim_date_rows(s.feed("sales_details", 2))
+    frames[("fact_sales", "transform")] = s.fact_rows_2()
+    return audit.batch_audit(frames)
+
+
+# ---- sources and sinks ------------------------------------------------------------------------------
+
+
+@query("scan_csv_feed")
+def _scan_csv(s: Scenario) -> DataFrame:
+    """The product feed written as CSV and read back with its explicit schema."""
+    path = scratch_path(s.spark, "product_info_csv")
+    feeds_io.write_csv_feed(s.feed("product_info", 2), path)
+    return feeds_io.read_csv_feed(s.spark, path, schemas.CRM_PRODUCT)
+
+
+@query("dim_snapshot")
+def _dim_snapshot(s: Scenario) -> DataFrame:
+    """A stored dimension version read back (version 1 = the initial load)."""
+    wh = loaded_warehouse(s.spark, s.sf_dir)
+    return tables.read_snapshot(s.spark, wh, "dim_customer", 1, schemas.DIM_CUSTOMER)
+
+
+@query("dim_customer_full")
+def _dim_customer_full(s: Scenario) -> DataFrame:
+    """C1 + V7 via the batch job: current dim_customer after two batches."""
+    return read_warehouse(s.spark, loaded_warehouse(s.spark, s.sf_dir))["dim_customer"]
+
+
+@query("dim_product_full")
+def _dim_product_full(s: Scenario) -> DataFrame:
+    """C2 + V7 via the batch job: current dim_product after two batches."""
+    return read_warehouse(s.spark, loaded_warehouse(s.spark, s.sf_dir))["dim_product"]
+
+
+@query("dim_date_loaded")
+def _dim_date_loaded(s: Scenario) -> DataFrame:
+    """C3 + I2 via the batch job: dates of both batches, keys continuing."""
+    return read_warehouse(s.spark, loaded_warehouse(s.spark, s.sf_dir))["dim_date"]
+
+
+@query("fact_sales_loaded")
+def _fact_loaded(s: Scenario) -> DataFrame:
+    """fact_sales after two batches (appended per created_date)."""
+    return read_warehouse(s.spark, loaded_warehouse(s.spark, s.sf_dir))["fact_sales"]

@@ -13,6 +13,9 @@ from starloom.sources.derived import BATCH1_DATE, BATCH2_DATE
 from starloom.sources.testdata import Tables
 
 
+FEED_NAMES = ("customer", "customer_location", "customer_info", "product_categories", "product_info", "sales_details")
+
+
 class Scenario:
     """Lazily built frames of the two-batch scenario for one scale-factor folder."""
 
@@ -77,3 +80,55 @@ class Scenario:
             BATCH1_DATE,
             **options,
         )
+
+    @cached_property
+    def fact_1(self) -> DataFrame:
+        return self.fact_batch_1()
+
+    @cached_property
+    def new_dates_2(self) -> DataFrame:
+        """Batch-2 dates not yet in the batch-1 dimension, keys continuing."""
+        from starloom.operators import incremental
+        from starloom.operators.keys import assign_dense_keys, next_key_start
+
+        rows = conform.dim_date_rows(self.feed("sales_details", 2))
+        fresh = incremental.dates_not_loaded(rows, self.dim_date_1)
+        start = next_key_start(self.dim_date_1, "date_sk", "DATE")
+        return assign_dense_keys(fresh, conform.date_order(), "date_sk", "DATE", start)
+
+    @cached_property
+    def dim_date_2(self) -> DataFrame:
+        return self.dim_date_1.unionByName(self.new_dates_2)
+
+    def fact_rows_2(self, sales: DataFrame | None = None) -> DataFrame:
+        """Unkeyed batch-2 fact rows against the dimensions after the batch-2 merge."""
+        return facts.build_fact_sales(
+            sales if sales is not None else self.feed("sales_details", 2),
+            self.customer_delta_2.merged,
+            self.product_delta_2.merged,
+            self.dim_date_2,
+            BATCH2_DATE,
+            with_keys=False,
+        )
+
+
+# ---- a warehouse loaded by the real batch job (shared by the queries of one app) ----------
+
+_WAREHOUSES: dict[tuple[str, str], str] = {}
+
+
+def loaded_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """Run batch 1 (D1) and batch 2 (D2) of the scenario into a fresh warehouse folder
+    under the shared checkpoint folder, once per application and scale factor."""
+    from starloom.plans.batch import run_batch
+    from starloom.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WAREHOUSES:
+        wh = scratch_path(spark, "warehouse")
+        s = Scenario(spark, sf_dir)
+        for batch, p in ((1, BATCH1_DATE), (2, BATCH2_DATE)):
+            feeds = {n: s.feed(n, batch) for n in FEED_NAMES}
+            run_batch(spark, feeds, wh, p)
+        _WAREHOUSES[key] = wh
+    return _WAREHOUSES[key]

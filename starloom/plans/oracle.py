@@ -316,9 +316,35 @@ def warehouse_ctes() -> list[tuple[str, str]]:
     out.append(("sales1_padded", f"SELECT * REPLACE ({padded_cust('crm_sales_b1')} AS sls_cust_id) FROM crm_sales_b1"))
     out.append(("fact_rows1", _fact("crm_sales_b1", "cust_snap1", "prod_snap1", "dim_date1", D1)))
     out.append(("fact1", _numbered("fact_rows1", FACT_ORDER, "SALES", col="sales_sk")))
+    # ---- dates and facts of batch 2 ----
+    out.append(("date_rows2", _date_rows("crm_sales_b2", False)))
+    out.append(
+        (
+            "new_dates2",
+            _numbered(
+                "(SELECT * FROM date_rows2 WHERE full_date NOT IN (SELECT full_date FROM dim_date1)) r",
+                "full_date ASC NULLS LAST",
+                "DATE",
+                start=_max_key("dim_date1", "date_sk", "DATE"),
+                col="date_sk",
+            ),
+        )
+    )
+    out.append(("dim_date2", "SELECT * FROM dim_date1 UNION ALL SELECT * FROM new_dates2"))
+    out.append(("fact_rows2", _fact("crm_sales_b2", "cust_merged2", "prod_merged2", "dim_date2", D2)))
+    out.append(
+        (
+            "fact2",
+            _numbered("fact_rows2", FACT_ORDER, "SALES", start=_max_key("fact1", "sales_sk", "SALES"), col="sales_sk"),
+        )
+    )
     return out
 
 
+def _max_key(table: str, col: str, prefix: str) -> str:
+    return f"(SELECT coalesce(max(CAST(replace({col}, '{prefix}', '') AS BIGINT)), 0) FROM {table})"
+
+
 def prelude() -> str:
     ctes = oracle_feeds.feed_ctes() + warehouse_ctes()
     return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes) + "\n"
@@ -450,6 +476,63 @@ FINAL: dict[str, str] = {
     LEFT JOIN dd d2 ON {ymd('s.sls_ship_dt')} IS NOT DISTINCT FROM d2.full_date
     LEFT JOIN dd d3 ON {ymd('s.sls_due_dt')} IS NOT DISTINCT FROM d3.full_date""",
     "fact_sales_full": "SELECT * FROM fact1",
+    "watermark_read": f"""
+    SELECT t.table_name, coalesce(w.watermark, DATE '1900-01-01') AS watermark
+    FROM (VALUES ('dim_customer'), ('dim_product'), ('dim_date'), ('fact_sales'), ('dim_store')) t(table_name)
+    LEFT JOIN (SELECT 'dim_customer' AS table_name, max(effective_date) AS watermark FROM cust_snap1
+               UNION ALL SELECT 'dim_product', max(effective_date) FROM prod_snap1
+               UNION ALL SELECT 'dim_date', max(full_date) FROM dim_date1
+               UNION ALL SELECT 'fact_sales', max(created_date) FROM fact1) w
+      ON t.table_name = w.table_name""",
+    "watermark_advance": f"""
+    SELECT t.table_name, coalesce(w.watermark, DATE '1900-01-01') AS watermark
+    FROM (VALUES ('dim_customer'), ('dim_product'), ('dim_date'), ('fact_sales'), ('dim_store')) t(table_name)
+    LEFT JOIN (SELECT 'dim_customer' AS table_name, max(effective_date) AS watermark FROM cust_merged2
+               UNION ALL SELECT 'dim_product', max(effective_date) FROM prod_merged2
+               UNION ALL SELECT 'dim_date', coalesce((SELECT max(full_date) FROM new_dates2),
+                                                     (SELECT max(full_date) FROM dim_date1))
+               UNION ALL SELECT 'fact_sales', max(created_date) FROM fact2) w
+      ON t.table_name = w.table_name""",
+    "scd2_load_filter_customer": f"""
+    SELECT {_cols(CUST_DIM)} FROM cust_opened2 WHERE (new AND effective_date > {D2}) OR NOT new""",
+    "incremental_dates": "SELECT * FROM ("
+    + _numbered(
+        "(SELECT * FROM date_rows2 WHERE full_date > (SELECT max(full_date) FROM dim_date1)) r",
+        "full_date ASC NULLS LAST",
+        "DATE",
+        start=_max_key("dim_date1", "date_sk", "DATE"),
+        col="date_sk",
+    )
+    + ") z",
+    "incremental_dates_antijoin": "SELECT * FROM new_dates2",
+    "incremental_fact_by_created": f"SELECT * FROM fact2 WHERE created_date > {D1}",
+    "incremental_fact_by_order_date": _fact(
+        f"(SELECT * FROM crm_sales_b2 WHERE {ymd('sls_order_dt')} > "
+        f"(SELECT max({ymd('sls_order_dt')}) FROM crm_sales_b1))",
+        "cust_merged2",
+        "prod_merged2",
+        "dim_date2",
+        D2,
+    ),
+    "batch_audit": """
+    SELECT 'customer' AS table_name, 'extract' AS stage, count(*) AS n_rows FROM erp_customer_b2
+    UNION ALL SELECT 'customer_location', 'extract', count(*) FROM erp_location_b2
+    UNION ALL SELECT 'customer_info', 'extract', count(*) FROM crm_customer_b2
+    UNION ALL SELECT 'product_categories', 'extract', count(*) FROM erp_category
+    UNION ALL SELECT 'product_info', 'extract', count(*) FROM crm_product_b2
+    UNION ALL SELECT 'sales_details', 'extract', count(*) FROM crm_sales_b2
+    UNION ALL SELECT 'dim_customer', 'transform', count(*) FROM cust_opened2
+    UNION ALL SELECT 'dim_customer', 'expire', count(*) FROM cust_closed2
+    UNION ALL SELECT 'dim_product', 'transform', count(*) FROM prod_opened2
+    UNION ALL SELECT 'dim_product', 'expire', count(*) FROM prod_merged2 WHERE end_date_history IS NOT NULL
+    UNION ALL SELECT 'dim_date', 'transform', count(*) FROM date_rows2
+    UNION ALL SELECT 'fact_sales', 'transform', count(*) FROM fact_rows2""",
+    "scan_csv_feed": "SELECT * FROM crm_product_b2",
+    "dim_snapshot": "SELECT * FROM cust_snap1",
+    "dim_customer_full": "SELECT * FROM cust_merged2",
+    "dim_product_full": "SELECT * FROM prod_merged2",
+    "dim_date_loaded": "SELECT * FROM dim_date2",
+    "fact_sales_loaded": "SELECT * FROM fact1 UNION ALL SELECT * FROM fact2",
 }
 
 # queries whose final SELECT needs an extra local CTE

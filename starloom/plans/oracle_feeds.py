@@ -12,6 +12,7 @@ from starloom.sources.derived import (
     CATEGORY_ROWS,
     DEFAULT_CREATE_DATE,
     SALES_BATCH1_BEFORE,
+    SALES_BATCH1_SHIPPED_BEFORE,
 )
 
 
@@ -120,6 +121,7 @@ def crm_product(batch: int) -> str:
 
 def crm_sales(batch: int) -> str:
     cut = f"WHERE o_orderdate < DATE '{SALES_BATCH1_BEFORE.isoformat()}'" if batch == 1 else ""
+    ship_cut = f"WHERE l_shipdate < DATE '{SALES_BATCH1_SHIPPED_BEFORE.isoformat()}'" if batch == 1 else ""
     return f"""
     SELECT 'SO' || CAST(l_orderkey AS VARCHAR) AS sls_ord_num,
            CASE WHEN l_linenumber % 4 = 0 THEN ' ' || prd || ' ' ELSE prd END AS sls_prd_key,
@@ -137,7 +139,8 @@ def crm_sales(batch: int) -> str:
     FROM (
       SELECT l.*, o.o_custkey, o.o_orderdate, CAST(l.l_shipdate AS DATE) AS ship,
              'FR-' || CAST((l.l_partkey - l.l_partkey % 3) // 3 AS VARCHAR) AS prd
-      FROM lineitem l JOIN (SELECT o_orderkey, o_custkey, o_orderdate FROM orders {cut}) o
+      FROM (SELECT * FROM lineitem {ship_cut}) l
+      JOIN (SELECT o_orderkey, o_custkey, o_orderdate FROM orders {cut}) o
         ON l.l_orderkey = o.o_orderkey
     ) s"""
 

@@ -25,6 +25,7 @@ BATCH1_DATE = dt.date(2002, 1, 1)  # processing date of batch 1 (D1)
 BATCH2_DATE = dt.date(2002, 2, 1)  # processing date of batch 2 (D2)
 BATCH1_SKIP_MOD = 13  # members/products with key % 13 = 0 only arrive in batch 2
 SALES_BATCH1_BEFORE = dt.date(1999, 1, 1)  # batch 1 holds orders placed before this day
+SALES_BATCH1_SHIPPED_BEFORE = dt.date(1999, 7, 1)  # ... whose lines shipped before this day
 DEFAULT_CREATE_DATE = dt.date(1995, 1, 1)  # create date of a customer without orders
 BATCH2_EDITS = {
     "country_changed_mod": 5,  # customer moves to the next nation
@@ -216,6 +217,8 @@ def crm_sales(t: Tables, batch: int = 1) -> DataFrame:
     if batch == 1:
         orders = orders.where(F.col("o_orderdate") < F.lit(SALES_BATCH1_BEFORE))
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
+    if batch == 1:
+        li = li.where(F.col("l_shipdate") < F.lit(SALES_BATCH1_SHIPPED_BEFORE))
     j = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
     ok = F.col("l_orderkey")
     g = _div(F.col("l_partkey"), 3).cast("string")
