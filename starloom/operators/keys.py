@@ -5,9 +5,11 @@ through a single partition:
 
 1. range-partition on the order and sort inside each partition, so partition ``i``
    holds a contiguous run of the order and a hot value spans several partitions;
-2. record each row's partition and position, and cut the lineage with a reliable
-   checkpoint (shared ``spark.checkpoint.dir``) so that counting and numbering see
-   the same partitioning even after an executor is lost;
+2. record each row's partition and position, and write them with the rows to a
+   Parquet table in the shared checkpoint folder (``spark.checkpoint.dir``): the
+   lineage is cut, so counting and numbering see the same partitioning even after an
+   executor is lost, and the sorted data is computed once (a reliable RDD checkpoint
+   would compute it twice);
 3. count rows per partition (one row per partition), turn the counts into offsets,
    and broadcast the offsets (their size is the partition count, a bounded number).
 """
@@ -19,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import checkpoint_dir
+from starloom.session import scratch_path
 
 _PART, _POS, _OFF, _N = "_sk_part", "_sk_pos", "_sk_off", "_sk_n"
 
@@ -64,18 +66,19 @@ def assign_dense_keys(
     """Append ``key_col`` = ``prefix`` + (start + 1, start + 2, ...) following ``order``.
 
     ``order`` must be total over the rows whose outputs differ; rows that tie on it
-    are interchangeable. The result is materialised (checkpointed).
+    are interchangeable. The numbered rows are staged once as Parquet.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
+    path = scratch_path(spark, f"dense-keys-{key_col}")
+    staged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn(_PART, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id() - F.col(_PART).cast("long") * F.lit(1 << 33))
-        .checkpoint(eager=True)
     )
+    staged.write.mode("overwrite").parquet(path)
+    ranged = spark.read.schema(staged.schema).parquet(path)
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(_PART)

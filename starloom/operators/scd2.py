@@ -159,13 +159,10 @@ class Delta:
     merged: DataFrame  # the next snapshot
 
 
-def close_versions(snapshot: DataFrame, classified: DataFrame, spec: SCD2Spec, processing_date):
-    """(closed, unchanged): set-based version of the keyed UPDATE."""
-    changed = (
-        classified.where(F.col("change_kind") == CHANGED)
-        .select(F.col(_old(spec.sk_col)).alias("_closed_sk"))
-        .distinct()
-    )
+def close_versions(snapshot: DataFrame, changed_sks: DataFrame, spec: SCD2Spec, processing_date):
+    """(closed, unchanged): set-based version of the keyed UPDATE. ``changed_sks`` has
+    one column ``_closed_sk``: keys of versions that a changed feed row replaces."""
+    changed = changed_sks.where(F.col("_closed_sk").isNotNull()).distinct()
     cond = snapshot[spec.sk_col] == changed["_closed_sk"]
     closed = (
         snapshot.join(changed, cond, "left_semi")
@@ -187,23 +184,28 @@ def open_versions(
 ) -> DataFrame:
     """New versions for ``new`` and ``changed`` rows, keyed after the snapshot's max.
 
+    The result also carries ``<sk>_old``, the version a changed row replaces, so the
+    close step reads it from the staged rows instead of classifying a second time.
     ``reopen=True`` also opens a version for a member whose versions are all closed
     (the reference ignores such members forever).
     """
+    old_sk = _old(spec.sk_col)
     rows = classified.where(F.col("change_kind").isin(NEW, CHANGED)).select(
-        *spec.columns, (F.col("change_kind") == NEW).alias("new")
+        *spec.columns, (F.col("change_kind") == NEW).alias("new"), F.col(old_sk)
     )
     if reopen:
         key = spec.natural_key
         known = snapshot.select(key)
         current = snapshot.where(F.col(spec.flag_col) == "Y").select(key)
         dormant = feed.join(known, key, "left_semi").join(current, key, "left_anti")
-        rows = rows.unionByName(dormant.select(*spec.columns, F.lit(False).alias("new")))
+        rows = rows.unionByName(
+            dormant.select(*spec.columns, F.lit(False).alias("new"), F.lit(None).cast("string").alias(old_sk))
+        )
     rows = stamp_open(rows, spec, processing_date)
     if start is None:
         start = next_key_start(snapshot, spec.sk_col, spec.prefix)
     keyed = assign_dense_keys(rows, spec.order(), spec.sk_col, spec.prefix, start)
-    return keyed.select(*spec.table_columns, "new")
+    return keyed.select(*spec.table_columns, "new", old_sk)
 
 
 def apply_batch(
@@ -218,8 +220,13 @@ def apply_batch(
     feed = feed.select(*spec.columns)
     snapshot = snapshot.select(*spec.table_columns)
     classified = classify(feed, snapshot, spec)
-    closed, unchanged = close_versions(snapshot, classified, spec, processing_date)
-    opened = open_versions(classified, snapshot, feed, spec, processing_date, reopen, start)
+    # the staged (keyed) new versions carry the key of the version each one replaces,
+    # so the classification join runs once for both the open and the close side
+    staged = open_versions(classified, snapshot, feed, spec, processing_date, reopen, start)
+    old_sk = _old(spec.sk_col)
+    changed = staged.where(~F.col("new")).select(F.col(old_sk).alias("_closed_sk"))
+    closed, unchanged = close_versions(snapshot, changed, spec, processing_date)
+    opened = staged.drop(old_sk)
     merged = unchanged.unionByName(closed).unionByName(opened.drop("new"))
     return Delta(classified, closed, unchanged, opened, merged)
 
