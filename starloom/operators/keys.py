@@ -10,8 +10,10 @@ through a single partition:
    lineage is cut, so counting and numbering see the same partitioning even after an
    executor is lost, and the sorted data is computed once (a reliable RDD checkpoint
    would compute it twice);
-3. count rows per partition (one row per partition), turn the counts into offsets,
-   and broadcast the offsets (their size is the partition count, a bounded number).
+3. count rows per partition -- one number per partition, so a bounded result, the
+   same step ``zipWithIndex`` runs -- and turn the counts into offsets. Numbering is
+   then a projection of the staged Parquet (offset of the row's partition + its
+   position): consumers of the keyed frame run no joins, windows or subqueries.
 """
 
 from __future__ import annotations
@@ -79,17 +81,24 @@ def assign_dense_keys(
     )
     staged.write.mode("overwrite").parquet(path)
     ranged = spark.read.schema(staged.schema).parquet(path)
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(_PART)
-        .agg(F.count(F.lit(1)).alias(_N))
-        .select(_PART, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("long").alias(_OFF))
-    )
-    start_col = F.lit(start).cast("long") if isinstance(start, int) else start.cast("long")
-    number = start_col + F.col(_OFF) + F.col(_POS) + F.lit(1)
-    key = F.concat(F.lit(prefix), number.cast("string")) if prefix else number
-    # offsets has one row per partition: a bounded broadcast
-    return ranged.join(F.broadcast(offsets), _PART, "inner").withColumn(key_col, key).drop(_PART, _POS, _OFF)
+    counts = dict(ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_N)).collect())
+    offsets, acc = [], 0
+    for part in range(n):
+        offsets.append(acc)
+        acc += counts.get(part, 0)
+    base = _scalar_value(spark, start)
+    offset_of_part = F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<bigint>"), F.col(_PART) + 1)
+    number = F.lit(base).cast("long") + offset_of_part + F.col(_POS) + 1
+    key = F.concat(F.lit(prefix), number.cast("string")) if prefix else number.cast("long")
+    return ranged.withColumn(key_col, key).drop(_PART, _POS)
+
+
+def _scalar_value(spark, start: Column | int) -> int:
+    """Evaluate the starting key once (a scalar subquery column or a number)."""
+    if isinstance(start, int):
+        return start
+    value = spark.range(1).select(start.cast("long")).first()[0]
+    return int(value or 0)
 
 
 def assign_keys_in_window(

@@ -23,9 +23,26 @@ class Scenario:
         self.spark = spark
         self.sf_dir = sf_dir
         self.t = Tables(spark, sf_dir)
+        self._feeds: dict[tuple[str, int], DataFrame] = {}
 
     # ---- raw feeds -------------------------------------------------------------
     def feed(self, name: str, batch: int) -> DataFrame:
+        """One raw feed of a batch. The sales feed, read by several passes (prefix
+        check, date codes, lookups, key sampling), is landed once as Parquet, like the
+        batch job lands its inputs; the small feeds stay lazy."""
+        key = (name, batch)
+        if key not in self._feeds:
+            df = self._build_feed(name, batch)
+            if name == "sales_details":
+                from starloom.session import scratch_path
+
+                path = scratch_path(self.spark, f"landed-{name}-b{batch}")
+                df.write.mode("overwrite").parquet(path)
+                df = self.spark.read.schema(df.schema).parquet(path)
+            self._feeds[key] = df
+        return self._feeds[key]
+
+    def _build_feed(self, name: str, batch: int) -> DataFrame:
         t = self.t
         return {
             "customer_info": lambda: derived.crm_customer(t, batch),
@@ -70,8 +87,16 @@ class Scenario:
     def dim_date_1(self) -> DataFrame:
         return conform.dim_date_build(self.feed("sales_details", 1))
 
+    def prepare(self, *names: str) -> None:
+        """Build independent cached frames concurrently (each is its own Spark jobs)."""
+        from starloom.plans.parallel import run_parallel
+
+        run_parallel({n: (lambda n=n: getattr(self, n)) for n in names})
+
     def fact_batch_1(self, **options) -> DataFrame:
         """fact_sales of batch 1, looked up after the batch-1 dimension loads."""
+        self.feed("sales_details", 1)
+        self.prepare("customer_snapshot_1", "product_snapshot_1", "dim_date_1")
         return facts.build_fact_sales(
             self.feed("sales_details", 1),
             self.customer_snapshot_1,

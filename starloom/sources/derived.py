@@ -219,6 +219,11 @@ def crm_sales(t: Tables, batch: int = 1) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
     if batch == 1:
         li = li.where(F.col("l_shipdate") < F.lit(SALES_BATCH1_SHIPPED_BEFORE))
+    # Hash-partition the line items on the join key: it is the shuffle a sort-merge join
+    # with ``orders`` needs once ``orders`` is too big to broadcast, and it spreads the
+    # downstream work over all tasks even when the source is one large row group.
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    li = li.repartition(n, "l_orderkey")
     j = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
     ok = F.col("l_orderkey")
     g = _div(F.col("l_partkey"), 3).cast("string")
