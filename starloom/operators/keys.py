@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from starloom.session import scratch_path
 
-_PART, _POS, _OFF, _N = "_sk_part", "_sk_pos", "_sk_off", "_sk_n"
+_PART, _POS, _N, _TIE = "_sk_part", "_sk_pos", "_sk_n", "_sk_tie"
 
 
 def key_number(key: Column | str, prefix: str | None) -> Column:
@@ -73,9 +73,13 @@ def assign_dense_keys(
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, f"dense-keys-{key_col}")
+    # A random last range column lets rows that tie on the whole order (and are
+    # therefore interchangeable) spread over several partitions instead of one.
     staged = (
-        df.repartitionByRange(n, *order)
+        df.withColumn(_TIE, F.rand(17))
+        .repartitionByRange(n, *order, F.col(_TIE))
         .sortWithinPartitions(*order)
+        .drop(_TIE)
         .withColumn(_PART, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id() - F.col(_PART).cast("long") * F.lit(1 << 33))
     )

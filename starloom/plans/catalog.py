@@ -447,3 +447,19 @@ def _dim_date_loaded(s: Scenario) -> DataFrame:
 def _fact_loaded(s: Scenario) -> DataFrame:
     """fact_sales after two batches (appended per created_date)."""
     return read_warehouse(s.spark, loaded_warehouse(s.spark, s.sf_dir))["fact_sales"]
+
+
+# ---- streaming ----------------------------------------------------------------------------------------
+
+
+@query("stream_fact_load")
+def _stream_fact_load(s: Scenario) -> DataFrame:
+    """Both batches dropped as daily feed folders and drained by Structured Streaming
+    (availableNow + foreachBatch -> batch job): the loaded fact table."""
+    from starloom.streaming.feed_stream import drop_feeds, run_stream
+
+    root = scratch_path(s.spark, "stream")
+    for batch, p in ((1, BATCH1_DATE), (2, BATCH2_DATE)):
+        drop_feeds({n: s.feed(n, batch) for n in FEED_NAMES}, f"{root}/source", p)
+    run_stream(s.spark, f"{root}/source", f"{root}/warehouse", f"{root}/checkpoint")
+    return read_warehouse(s.spark, f"{root}/warehouse")["fact_sales"]

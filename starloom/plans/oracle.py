@@ -533,6 +533,7 @@ FINAL: dict[str, str] = {
     "dim_product_full": "SELECT * FROM prod_merged2",
     "dim_date_loaded": "SELECT * FROM dim_date2",
     "fact_sales_loaded": "SELECT * FROM fact1 UNION ALL SELECT * FROM fact2",
+    "stream_fact_load": "SELECT * FROM fact1 UNION ALL SELECT * FROM fact2",
 }
 
 # queries whose final SELECT needs an extra local CTE
