@@ -80,6 +80,44 @@ def dedupe_latest_customer(conformed: DataFrame, null_dates: str = "win") -> Dat
     return keep_last_by(conformed, ["customer_key"], rank + [F.col("customer_id")])
 
 
+def latest_customers(
+    info: DataFrame,
+    erp: DataFrame,
+    location: DataFrame,
+    processing_date: str | dt.date,
+    null_dates: str = "win",
+) -> DataFrame:
+    """``dedupe_latest_customer(conform_customer(...))`` computed dedupe-first.
+
+    Deduplicating the CRM rows before the joins lets Spark pre-aggregate map-side, so
+    a hot or missing key shrinks to one row per map task before any shuffle (after the
+    joins the aggregate would inherit the join's key partitioning and run a hot key in
+    one task). The ERP and location sides are reduced to one row per key as well, so
+    the joins are one-to-one. Same result whenever those keys are unique (a duplicate
+    ERP key is a tie the reference also resolves arbitrarily).
+    """
+    p = processing_date
+    crm = info.select(
+        F.col("cst_id").alias("customer_id"),
+        strip_ws("cst_key").alias("customer_key"),
+        strip_ws("cst_firstname").alias("first_name"),
+        strip_ws("cst_lastname").alias("last_name"),
+        F.upper("cst_gndr").alias("gender"),
+        F.upper("cst_marital_status").alias("marital_status"),
+        clamp_future(parse_iso_date("cst_create_date"), p).alias("customer_create_date"),
+    )
+    rank = nulls_win("customer_create_date") if null_dates == "win" else nulls_lose("customer_create_date")
+    crm = keep_last_by(crm, ["customer_key"], rank + [F.col("customer_id")])
+    erp_k = erp.select(strip_ws("CID").alias("_erp_cid"), F.col("BDATE").alias("birth_date"))
+    erp_k = keep_last_by(erp_k.where(F.col("_erp_cid").isNotNull()), ["_erp_cid"], nulls_lose("birth_date"))
+    loc_k = location.select(replace_literal("CID", "-", "").alias("_loc_cid"), F.col("CNTRY").alias("country"))
+    loc_k = keep_last_by(loc_k.where(F.col("_loc_cid").isNotNull()), ["_loc_cid"], nulls_lose("country"))
+    joined = crm.join(erp_k, F.col("customer_key") == F.col("_erp_cid"), "left").join(
+        loc_k, F.col("customer_key") == F.col("_loc_cid"), "left"
+    )
+    return joined.select(*CUSTOMER_COLUMNS)
+
+
 def customer_order():
     """Total order used to number customer versions: create date (NULL last), key, id."""
     return [

@@ -148,6 +148,41 @@ def classify(feed: DataFrame, snapshot: DataFrame, spec: SCD2Spec) -> DataFrame:
     return pairs.withColumn("change_kind", kind)
 
 
+def classify_current(feed: DataFrame, snapshot: DataFrame, spec: SCD2Spec) -> DataFrame:
+    """The part of ``classify`` that can produce output, without pairing a feed row
+    with every closed version of its key.
+
+    Feed rows are joined to the *current* versions only; a second join to the distinct
+    natural keys of the snapshot tells a member with only closed versions (``ignore``)
+    from a brand-new one. Both joins are on the natural key, so they share one
+    partitioning. Kinds agree with ``classify`` for every pair that can open or close a
+    version.
+    """
+    key = spec.natural_key
+    current = snapshot.where(F.col(spec.flag_col) == "Y").select(
+        F.col(key).alias("_match_key"),
+        F.col(spec.sk_col).alias(_old(spec.sk_col)),
+        *[F.col(c).alias(_old(c)) for c in spec.tracked],
+    )
+    known = snapshot.select(F.col(key).alias("_known_key")).where(F.col("_known_key").isNotNull()).distinct()
+    pairs = feed.join(current, feed[key] == current["_match_key"], "left").drop("_match_key")
+    pairs = pairs.join(known, pairs[key] == known["_known_key"], "left")
+    types = {f.name: f.dataType for f in feed.schema.fields}
+    any_change = reduce(
+        lambda a, b: a | b,
+        [
+            ~normalised(F.col(c), c, types[c], spec).eqNullSafe(normalised(F.col(_old(c)), c, types[c], spec))
+            for c in spec.tracked
+        ],
+    )
+    kind = (
+        F.when(F.col(_old(spec.sk_col)).isNotNull(), F.when(any_change, F.lit(CHANGED)).otherwise(F.lit(SAME)))
+        .when(F.col("_known_key").isNotNull(), F.lit(IGNORE))
+        .otherwise(F.lit(NEW))
+    )
+    return pairs.select(*feed.columns, F.col(_old(spec.sk_col)), kind.alias("change_kind"))
+
+
 @dataclass
 class Delta:
     """The outputs of applying one batch to a snapshot."""
@@ -176,7 +211,6 @@ def close_versions(snapshot: DataFrame, changed_sks: DataFrame, spec: SCD2Spec,
 def open_versions(
     classified: DataFrame,
     snapshot: DataFrame,
-    feed: DataFrame,
     spec: SCD2Spec,
     processing_date,
     reopen: bool = False,
@@ -190,17 +224,10 @@ def open_versions(
     (the reference ignores such members forever).
     """
     old_sk = _old(spec.sk_col)
-    rows = classified.where(F.col("change_kind").isin(NEW, CHANGED)).select(
+    kinds = [NEW, CHANGED, IGNORE] if reopen else [NEW, CHANGED]
+    rows = classified.where(F.col("change_kind").isin(*kinds)).select(
         *spec.columns, (F.col("change_kind") == NEW).alias("new"), F.col(old_sk)
     )
-    if reopen:
-        key = spec.natural_key
-        known = snapshot.select(key)
-        current = snapshot.where(F.col(spec.flag_col) == "Y").select(key)
-        dormant = feed.join(known, key, "left_semi").join(current, key, "left_anti")
-        rows = rows.unionByName(
-            dormant.select(*spec.columns, F.lit(False).alias("new"), F.lit(None).cast("string").alias(old_sk))
-        )
     rows = stamp_open(rows, spec, processing_date)
     if start is None:
         start = next_key_start(snapshot, spec.sk_col, spec.prefix)
@@ -219,16 +246,17 @@ def apply_batch(
     """Apply one conformed batch to a dimension snapshot (all versions)."""
     feed = feed.select(*spec.columns)
     snapshot = snapshot.select(*spec.table_columns)
-    classified = classify(feed, snapshot, spec)
     # the staged (keyed) new versions carry the key of the version each one replaces,
     # so the classification join runs once for both the open and the close side
-    staged = open_versions(classified, snapshot, feed, spec, processing_date, reopen, start)
+    current_kinds = classify_current(feed, snapshot, spec)
+    staged = open_versions(current_kinds, snapshot, spec, processing_date, reopen, start)
     old_sk = _old(spec.sk_col)
     changed = staged.where(~F.col("new")).select(F.col(old_sk).alias("_closed_sk"))
     closed, unchanged = close_versions(snapshot, changed, spec, processing_date)
     opened = staged.drop(old_sk)
     merged = unchanged.unionByName(closed).unionByName(opened.drop("new"))
-    return Delta(classified, closed, unchanged, opened, merged)
+    # the pair-level listing (every version of the key) is only built when asked for
+    return Delta(classify(feed, snapshot, spec), closed, unchanged, opened, merged)
 
 
 def current_members(dim: DataFrame, spec: SCD2Spec | None = None) -> DataFrame:

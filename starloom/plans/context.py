@@ -56,10 +56,9 @@ class Scenario:
     # ---- conformed dimensions ----------------------------------------------------
     def customers(self, batch: int) -> DataFrame:
         p = BATCH1_DATE if batch == 1 else BATCH2_DATE
-        c = conform.conform_customer(
+        return conform.latest_customers(
             self.feed("customer_info", batch), self.feed("customer", batch), self.feed("customer_location", batch), p
         )
-        return conform.dedupe_latest_customer(c)
 
     def products(self, batch: int) -> DataFrame:
         return conform.conform_product(self.feed("product_info", batch), self.feed("product_categories", batch))
