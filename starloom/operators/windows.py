@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.session import scratch_path
+
 _P, _LAST, _RN, _NEXT = "_lk_part", "_lk_last", "_lk_rn", "_lk_next"
 
 
@@ -39,10 +41,11 @@ def keep_last_by(df: DataFrame, keys: Sequence[str], rank: Sequence[Column]) ->
     Rows whose key is NULL form one group, like any other key value.
     """
     cols = df.columns
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*rank)).alias("_best")
-    return df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(best).select(
-        *[F.col(f"_best.{c}").alias(c) for c in cols]
-    )
+    rest = [c for c in cols if c not in keys]
+    best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*rank)).alias("_best")
+    # the grouping keys pass through as themselves, so the result keeps the key
+    # partitioning and a following join on the same key needs no new shuffle
+    return df.groupBy(*keys).agg(best).select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in cols])
 
 
 def lead_within_key(
@@ -73,6 +76,12 @@ def lead_within_key(
         .withColumn(_LAST, F.lead(F.lit(1)).over(piece).isNull())
         .withColumn(_RN, F.row_number().over(piece))
     )
+    # Stage the pieces once (shared checkpoint folder): the three branches below must
+    # see the same piece ids, and a re-sampled range partitioning over a shuffled
+    # input could draw different bounds.
+    path = scratch_path(spark, "lead-pieces")
+    local.write.mode("overwrite").parquet(path)
+    local = spark.read.schema(local.schema).parquet(path)
     # first value of every piece; a key has at most n pieces, so this window is bounded
     pieces = local.where(F.col(_RN) == 1).select(_P, key, F.col(value).alias("_first"))
     nexts = pieces.select(
