@@ -194,18 +194,34 @@ class Delta:
     merged: DataFrame  # the next snapshot
 
 
-def close_versions(snapshot: DataFrame, changed_sks: DataFrame, spec: SCD2Spec, processing_date):
-    """(closed, unchanged): set-based version of the keyed UPDATE. ``changed_sks`` has
-    one column ``_closed_sk``: keys of versions that a changed feed row replaces."""
-    changed = changed_sks.where(F.col("_closed_sk").isNotNull()).distinct()
-    cond = snapshot[spec.sk_col] == changed["_closed_sk"]
-    closed = (
-        snapshot.join(changed, cond, "left_semi")
-        .withColumn(spec.end_col, lit_date(processing_date))
-        .withColumn(spec.flag_col, F.lit("N"))
+def mark_closed(snapshot: DataFrame, changed_sks: DataFrame, spec: SCD2Spec, processing_date) -> DataFrame:
+    """The snapshot with this batch's closes applied (end = p, flag N), plus a boolean
+    ``_closed``: one left join against the distinct replaced keys, so the snapshot is
+    scanned once and no row fans out. Set-based version of the keyed UPDATE."""
+    changed = (
+        changed_sks.where(F.col("_closed_sk").isNotNull()).distinct().withColumn("_closed", F.lit(True))
+    )
+    j = snapshot.join(changed, snapshot[spec.sk_col] == changed["_closed_sk"], "left")
+    hit = F.col("_closed").isNotNull()
+    return j.select(
+        *[
+            F.when(hit, lit_date(processing_date)).otherwise(F.col(c)).alias(c)
+            if c == spec.end_col
+            else F.when(hit, F.lit("N")).otherwise(F.col(c)).alias(c)
+            if c == spec.flag_col
+            else F.col(c)
+            for c in spec.table_columns
+        ],
+        hit.alias("_closed"),
     )
-    unchanged = snapshot.join(changed, cond, "left_anti")
-    return closed.select(*spec.table_columns), unchanged.select(*spec.table_columns)
+
+
+def close_versions(snapshot: DataFrame, changed_sks: DataFrame, spec: SCD2Spec, processing_date):
+    """(closed, unchanged) parts of ``mark_closed``."""
+    marked = mark_closed(snapshot, changed_sks, spec, processing_date)
+    closed = marked.where(F.col("_closed")).drop("_closed")
+    unchanged = marked.where(~F.col("_closed")).drop("_closed")
+    return closed, unchanged
 
 
 def open_versions(
@@ -252,9 +268,11 @@ def apply_batch(
     staged = open_versions(current_kinds, snapshot, spec, processing_date, reopen, start)
     old_sk = _old(spec.sk_col)
     changed = staged.where(~F.col("new")).select(F.col(old_sk).alias("_closed_sk"))
-    closed, unchanged = close_versions(snapshot, changed, spec, processing_date)
+    marked = mark_closed(snapshot, changed, spec, processing_date)
+    closed = marked.where(F.col("_closed")).drop("_closed")
+    unchanged = marked.where(~F.col("_closed")).drop("_closed")
     opened = staged.drop(old_sk)
-    merged = unchanged.unionByName(closed).unionByName(opened.drop("new"))
+    merged = marked.drop("_closed").unionByName(opened.drop("new"))
     # the pair-level listing (every version of the key) is only built when asked for
     return Delta(classify(feed, snapshot, spec), closed, unchanged, opened, merged)
 
