@@ -463,3 +463,41 @@ def _stream_fact_load(s: Scenario) -> DataFrame:
         drop_feeds({n: s.feed(n, batch) for n in FEED_NAMES}, f"{root}/source", p)
     run_stream(s.spark, f"{root}/source", f"{root}/warehouse", f"{root}/checkpoint")
     return read_warehouse(s.spark, f"{root}/warehouse")["fact_sales"]
+
+
+# ---- reference-compatible switches -----------------------------------------------------------------
+
+
+@query("dedupe_nulls_lose")
+def _dedupe_nulls_lose(s: Scenario) -> DataFrame:
+    """O3 with ``null_dates='lose'``: a real create date beats a missing one."""
+    return conform.latest_customers(
+        s.feed("customer_info", 2), s.feed("customer", 2), s.feed("customer_location", 2), BATCH2_DATE, "lose"
+    )
+
+
+def _dormant_snapshot(s: Scenario) -> DataFrame:
+    """The batch-2 dimension with every version of every 7th member closed."""
+    n = F.substring("customer_key", 3, 1 << 20).try_cast("long")
+    return s.customer_delta_2.merged.withColumn(
+        "current_flag", F.when((n % 7) == 0, F.lit("N")).otherwise(F.col("current_flag"))
+    )
+
+
+@query("scd2_reopen_customer")
+def _scd2_reopen(s: Scenario) -> DataFrame:
+    """D11 switch: members whose versions are all closed get a new open version."""
+    d = scd2.apply_batch(_dormant_snapshot(s), s.customers(2), scd2.CUSTOMER, BATCH2_DATE, reopen=True)
+    return d.opened
+
+
+@query("fact_sales_reference_mode")
+def _fact_reference(s: Scenario) -> DataFrame:
+    """Batch-2 facts the reference way: lookups against the pre-batch snapshot with this
+    batch's closes applied (new and changed members get NULL keys), NULL-date rows kept
+    and matched null-safely, date and fact keys restarting at 1."""
+    sales = s.feed("sales_details", 2)
+    cust = s.customer_delta_2.unchanged.unionByName(s.customer_delta_2.closed)
+    prod = s.product_delta_2.unchanged.unionByName(s.product_delta_2.closed)
+    dates = conform.dim_date_build(sales, keep_unparsed=True)
+    return facts.build_fact_sales(sales, cust, prod, dates, BATCH2_DATE, null_safe=True)

@@ -310,6 +310,20 @@ def warehouse_ctes() -> list[tuple[str, str]]:
     UNION ALL SELECT {_cols(PROD_DIM)} FROM prod_opened2""",
         )
     )
+    out.append(
+        (
+            "prod_marked2",
+            f"""
+    SELECT {_cols(PROD_COLS)}, effective_date,
+           CASE WHEN closed THEN {D2} ELSE end_date_history END AS end_date_history,
+           CASE WHEN closed THEN 'N' ELSE current_flag END AS current_flag, product_sk
+    FROM (SELECT s.*, s.product_sk IN (SELECT product_sk_old FROM prod_pairs2 WHERE change_kind = 'changed')
+                 AS closed FROM prod_snap1 s) x""",
+        )
+    )
+    out.append(
+        ("cust_marked2", f"SELECT {_cols(CUST_DIM)} FROM cust_unchanged2 UNION ALL SELECT {_cols(CUST_DIM)} FROM cust_closed2")
+    )
     # ---- dates and facts of batch 1 ----
     out.append(("date_rows1", _date_rows("crm_sales_b1", False)))
     out.append(("dim_date1", _numbered("date_rows1", "full_date ASC NULLS LAST", "DATE", col="date_sk")))
@@ -534,10 +548,37 @@ FINAL: dict[str, str] = {
     "dim_date_loaded": "SELECT * FROM dim_date2",
     "fact_sales_loaded": "SELECT * FROM fact1 UNION ALL SELECT * FROM fact2",
     "stream_fact_load": "SELECT * FROM fact1 UNION ALL SELECT * FROM fact2",
+    "dedupe_nulls_lose": f"""
+    SELECT {_cols(CUST_COLS)} FROM (
+      SELECT *, row_number() OVER (PARTITION BY customer_key
+               ORDER BY customer_create_date DESC NULLS LAST, customer_id DESC) AS rn
+      FROM conf_customer_b2) x WHERE rn = 1""",
+    "scd2_reopen_customer": f"""
+    SELECT {_cols(CUST_COLS)}, {D2} AS effective_date, CAST(NULL AS DATE) AS end_date, 'Y' AS current_flag,
+           'CUST' || CAST((SELECT max(CAST(replace(customer_sk, 'CUST', '') AS BIGINT)) FROM cust_merged2)
+                          + row_number() OVER (ORDER BY {CUST_ORDER}) AS VARCHAR) AS customer_sk,
+           false AS new
+    FROM cust_b2 f
+    WHERE f.customer_key IN (SELECT customer_key FROM cust_merged2 WHERE customer_key IS NOT NULL)
+      AND f.customer_key NOT IN (
+        SELECT customer_key FROM cust_merged2
+        WHERE current_flag = 'Y' AND TRY_CAST(substring(customer_key, 3) AS BIGINT) % 7 <> 0
+          AND customer_key IS NOT NULL)""",
+    "fact_sales_reference_mode": "SELECT * FROM ("
+    + _numbered(
+        "(" + _fact("crm_sales_b2", "cust_marked2", "prod_marked2", "dd2u", D2, null_safe=True) + ") r",
+        FACT_ORDER,
+        "SALES",
+        col="sales_sk",
+    )
+    + ") z",
 }
 
 # queries whose final SELECT needs an extra local CTE
 LOCAL: dict[str, str] = {
+    "fact_sales_reference_mode": "dd2u AS ("
+    + _numbered(f"({_date_rows('crm_sales_b2', True)}) r", "full_date ASC NULLS LAST", "DATE", col="date_sk")
+    + ")",
     "lookup_date_sks_nullsafe": "dd AS ("
     + _numbered(f"({_date_rows('crm_sales_b1', True)}) r", "full_date ASC NULLS LAST", "DATE", col="date_sk")
     + ")",
