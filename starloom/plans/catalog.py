@@ -501,3 +501,10 @@ def _fact_reference(s: Scenario) -> DataFrame:
     prod = s.product_delta_2.unchanged.unionByName(s.product_delta_2.closed)
     dates = conform.dim_date_build(sales, keep_unparsed=True)
     return facts.build_fact_sales(sales, cust, prod, dates, BATCH2_DATE, null_safe=True)
+
+
+@query("batch_audit_loaded")
+def _audit_loaded(s: Scenario) -> DataFrame:
+    """S10 inside the batch job: rows written per table and batch, counted by
+    observations on the writes themselves."""
+    return tables.read_audit(s.spark, loaded_warehouse(s.spark, s.sf_dir))

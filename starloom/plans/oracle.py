@@ -548,6 +548,16 @@ FINAL: dict[str, str] = {
     "dim_date_loaded": "SELECT * FROM dim_date2",
     "fact_sales_loaded": "SELECT * FROM fact1 UNION ALL SELECT * FROM fact2",
     "stream_fact_load": "SELECT * FROM fact1 UNION ALL SELECT * FROM fact2",
+    "batch_audit_loaded": f"""
+    SELECT 'dim_customer' AS table_name, 'load' AS stage, count(*) AS n_rows, CAST(1 AS BIGINT) AS version,
+           {D1} AS processing_date FROM cust_snap1
+    UNION ALL SELECT 'dim_product', 'load', count(*), 1, {D1} FROM prod_snap1
+    UNION ALL SELECT 'dim_date', 'load', count(*), 1, {D1} FROM dim_date1
+    UNION ALL SELECT 'fact_sales', 'load', count(*), 1, {D1} FROM fact1
+    UNION ALL SELECT 'dim_customer', 'load', count(*), 2, {D2} FROM cust_merged2
+    UNION ALL SELECT 'dim_product', 'load', count(*), 2, {D2} FROM prod_merged2
+    UNION ALL SELECT 'dim_date', 'load', count(*), 2, {D2} FROM new_dates2
+    UNION ALL SELECT 'fact_sales', 'load', count(*), 2, {D2} FROM fact2""",
     "dedupe_nulls_lose": f"""
     SELECT {_cols(CUST_COLS)} FROM (
       SELECT *, row_number() OVER (PARTITION BY customer_key
