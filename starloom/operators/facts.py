@@ -78,11 +78,16 @@ def lookup_product_sk(fact: DataFrame, dim_current: DataFrame, one_version: str
 def lookup_date_sks(fact: DataFrame, dim_date: DataFrame, null_safe: bool = False) -> DataFrame:
     """Three role-playing lookups (order, ship, due) against one date dimension.
 
-    The date dimension is bounded by the calendar (one row per distinct day), so it is
-    broadcast; Spark builds it once and reuses the exchange for the other two roles.
-    ``null_safe=True`` lets unparseable codes match NULL-date rows (reference fan-out).
+    Without NULL-date rows the date dimension is bounded by the calendar (one row per
+    distinct day), so it is broadcast; Spark builds it once and reuses the exchange for
+    the other two roles. ``null_safe=True`` lets unparseable codes match NULL-date rows
+    (the reference's fan-out); those rows are one per distinct bad code, a size with no
+    bound, so that mode leaves the join strategy to Spark's size check.
     """
-    dates = F.broadcast(dim_date.select("full_date", "date_sk"))
+    dates = dim_date.select("full_date", "date_sk")
+    if not null_safe:
+        # NULL dates never match with plain equality; what remains is calendar-bounded
+        dates = F.broadcast(dates.where(F.col("full_date").isNotNull()))
     out = fact
     for code_col, sk_col in DATE_ROLES:
         parsed = f"_{code_col}_date"
