@@ -75,9 +75,16 @@ def assign_dense_keys(
     path = scratch_path(spark, f"dense-keys-{key_col}")
     # A random last range column lets rows that tie on the whole order (and are
     # therefore interchangeable) spread over several partitions instead of one.
+    # No fixed partition count unless asked: AQE may merge adjacent range partitions
+    # of a small input (each stays a contiguous run of the order); at most ``n``.
+    ranged_df = df.withColumn(_TIE, F.rand(17))
+    ranged_df = (
+        ranged_df.repartitionByRange(num_partitions, *order, F.col(_TIE))
+        if num_partitions
+        else ranged_df.repartitionByRange(*order, F.col(_TIE))
+    )
     staged = (
-        df.withColumn(_TIE, F.rand(17))
-        .repartitionByRange(n, *order, F.col(_TIE))
+        ranged_df
         .sortWithinPartitions(*order)
         .drop(_TIE)
         .withColumn(_PART, F.spark_partition_id())
@@ -87,7 +94,7 @@ def assign_dense_keys(
     ranged = spark.read.schema(staged.schema).parquet(path)
     counts = dict(ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_N)).collect())
     offsets, acc = [], 0
-    for part in range(n):
+    for part in range(max(n, max(counts, default=-1) + 1)):
         offsets.append(acc)
         acc += counts.get(part, 0)
     base = _scalar_value(spark, start)
