@@ -64,3 +64,13 @@ def test_malformed_key_raises(spark):
     new = spark.createDataFrame([("a",)], "k string")
     with pytest.raises(Exception, match="malformed surrogate key"):
         assign_dense_keys(new, [F.col("k")], "customer_sk", "CUST", next_key_start(snap, "customer_sk", "CUST")).collect()
+
+
+def test_dense_keys_broadcast_offsets_path(spark, monkeypatch):
+    from starloom.operators import keys
+
+    monkeypatch.setattr(keys, "MAX_INLINE_OFFSETS", 2)
+    df = spark.range(0, 5000).select((F.col("id") * 7 % 5000).alias("a"))
+    got = keys.assign_dense_keys(df, [F.col("a")], "sk", None, 10, num_partitions=6)
+    ref = assign_keys_in_window(df, [F.col("a")], "sk", None, 10)
+    assert got.exceptAll(ref).count() == 0 and got.count() == 5000
