@@ -88,14 +88,20 @@ def crm_customer(t: Tables, batch: int = 1) -> DataFrame:
         .when(_mod(k, 43), F.concat(F.lit("2999-"), F.lpad(((k % 12) + 1).cast("string"), 2, "0"), F.lit("-15")))
         .otherwise(created.cast("string"))
     )
-    rows = base.select(
-        k.alias("cst_id"),
+    # Every member yields its own row, a later duplicate (every 10th: other surname,
+    # created 30 days later, id + 1000000) and an undated third row (every 50th, id +
+    # 2000000): one pass over the joined rows, copies made by exploding a copy index.
+    copies = F.array(F.lit(0), F.when(_mod(k, 10), F.lit(1)), F.when(_mod(k, 50), F.lit(2)))
+    base = base.select("*", F.explode(F.filter(copies, lambda c: c.isNotNull())).alias("_copy"))
+    copy = F.col("_copy")
+    out = base.select(
+        (k + copy * 1000000).alias("cst_id"),
         F.when(_mod(k, 2), F.concat(F.lit(" AW"), pad, F.lit(" ")))
         .when(_mod(k, 3), F.concat(F.lit("AW"), pad, F.lit("\t")))
         .otherwise(F.concat(F.lit("AW"), pad))
         .alias("cst_key"),
         first.alias("cst_firstname"),
-        last.alias("cst_lastname"),
+        F.when(copy == 1, F.concat(F.lit("Other "), last)).otherwise(last).alias("cst_lastname"),
         F.when((k % 3) == 0, F.lit("m")).when((k % 3) == 1, F.lit("s")).otherwise(F.lit("M")).alias(
             "cst_marital_status"
         ),
@@ -103,32 +109,11 @@ def crm_customer(t: Tables, batch: int = 1) -> DataFrame:
         .when((k % 2) == 0, F.lit("f"))
         .otherwise(F.lit("M"))
         .alias("cst_gndr"),
-        create_txt.alias("cst_create_date"),
-        created.alias("_created"),
+        F.when(copy == 1, F.date_add(created, 30).cast("string"))
+        .when(copy == 2, F.lit(None).cast("string"))
+        .otherwise(create_txt)
+        .alias("cst_create_date"),
     )
-    # later duplicate of every 10th member: other surname, created 30 days later
-    dup = rows.where(_mod(F.col("cst_id"), 10)).select(
-        (F.col("cst_id") + 1000000).alias("cst_id"),
-        "cst_key",
-        "cst_firstname",
-        F.concat(F.lit("Other "), F.col("cst_lastname")).alias("cst_lastname"),
-        "cst_marital_status",
-        "cst_gndr",
-        F.date_add(F.col("_created"), 30).cast("string").alias("cst_create_date"),
-        "_created",
-    )
-    # third row of every 50th member, no create date at all
-    nodate = rows.where(_mod(F.col("cst_id"), 50)).select(
-        (F.col("cst_id") + 2000000).alias("cst_id"),
-        "cst_key",
-        "cst_firstname",
-        "cst_lastname",
-        "cst_marital_status",
-        "cst_gndr",
-        F.lit(None).cast("string").alias("cst_create_date"),
-        "_created",
-    )
-    out = rows.unionByName(dup).unionByName(nodate).drop("_created")
     return _typed(out, schemas.CRM_CUSTOMER)
 
 
