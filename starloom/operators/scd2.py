@@ -130,8 +130,9 @@ def classify(feed: DataFrame, snapshot: DataFrame, spec: SCD2Spec) -> DataFrame:
         *[F.col(c).alias(_old(c)) for c in spec.tracked],
         F.col(spec.flag_col).alias(_old(spec.flag_col)),
     )
-    # NULL natural keys never match (they are new members); AQE splits a hot key.
-    pairs = feed.join(old, feed[key] == old["_match_key"], "left").drop("_match_key")
+    # natural keys match null-safely: a missing key is one member, so re-applying a
+    # batch stays a no-op (the reference's missing keys match each other too)
+    pairs = feed.join(old, feed[key].eqNullSafe(old["_match_key"]), "left").drop("_match_key")
     types = {f.name: f.dataType for f in feed.schema.fields}
     flags = {
         c: ~normalised(F.col(c), c, types[c], spec).eqNullSafe(normalised(F.col(_old(c)), c, types[c], spec))
@@ -154,9 +155,9 @@ def classify_current(feed: DataFrame, snapshot: DataFrame, spec: SCD2Spec) -> Da
 
     Feed rows are joined to the *current* versions only; a second join to the distinct
     natural keys of the snapshot tells a member with only closed versions (``ignore``)
-    from a brand-new one. Both joins are on the natural key, so they share one
-    partitioning. Kinds agree with ``classify`` for every pair that can open or close a
-    version.
+    from a brand-new one. Both joins are on the natural key (null-safe), so they share
+    one partitioning. Kinds agree with ``classify`` for every pair that can open or
+    close a version.
     """
     key = spec.natural_key
     current = snapshot.where(F.col(spec.flag_col) == "Y").select(
@@ -164,9 +165,9 @@ def classify_current(feed: DataFrame, snapshot: DataFrame, spec: SCD2Spec) -> Da
         F.col(spec.sk_col).alias(_old(spec.sk_col)),
         *[F.col(c).alias(_old(c)) for c in spec.tracked],
     )
-    known = snapshot.select(F.col(key).alias("_known_key")).where(F.col("_known_key").isNotNull()).distinct()
-    pairs = feed.join(current, feed[key] == current["_match_key"], "left").drop("_match_key")
-    pairs = pairs.join(known, pairs[key] == known["_known_key"], "left")
+    known = snapshot.select(F.col(key).alias("_known_key"), F.lit(True).alias("_known")).distinct()
+    pairs = feed.join(current, feed[key].eqNullSafe(current["_match_key"]), "left").drop("_match_key")
+    pairs = pairs.join(known, pairs[key].eqNullSafe(known["_known_key"]), "left")
     types = {f.name: f.dataType for f in feed.schema.fields}
     any_change = reduce(
         lambda a, b: a | b,
@@ -177,7 +178,7 @@ def classify_current(feed: DataFrame, snapshot: DataFrame, spec: SCD2Spec) -> Da
     )
     kind = (
         F.when(F.col(_old(spec.sk_col)).isNotNull(), F.when(any_change, F.lit(CHANGED)).otherwise(F.lit(SAME)))
-        .when(F.col("_known_key").isNotNull(), F.lit(IGNORE))
+        .when(F.col("_known").isNotNull(), F.lit(IGNORE))
         .otherwise(F.lit(NEW))
     )
     return pairs.select(*feed.columns, F.col(_old(spec.sk_col)), kind.alias("change_kind"))

@@ -247,7 +247,7 @@ def warehouse_ctes() -> list[tuple[str, str]]:
                 f"""
     SELECT *, {_kind(sk + '_old', tracked)} AS change_kind FROM (
       SELECT {_cols(cols, 'f')}, s.{sk} AS {sk}_old, {olds}, s.current_flag AS current_flag_old, {flags}
-      FROM {feed} f LEFT JOIN {snap} s ON f.{key} = s.{key}) x""",
+      FROM {feed} f LEFT JOIN {snap} s ON f.{key} IS NOT DISTINCT FROM s.{key}) x""",
             )
         )
     out.append(
@@ -455,7 +455,7 @@ FINAL: dict[str, str] = {
                 WHEN """
     + " OR ".join(_cust_flag(c) for c in CUST_TRACKED)
     + """ THEN 'changed' ELSE 'same' END AS change_kind
-    FROM cust_b2 f LEFT JOIN cust_merged2 s ON f.customer_key = s.customer_key""",
+    FROM cust_b2 f LEFT JOIN cust_merged2 s ON f.customer_key IS NOT DISTINCT FROM s.customer_key""",
     "lookup_customer_sk": f"""
     SELECT s.sls_ord_num, s.sls_cust_id, s.sls_ship_dt, s.sls_sales, c.customer_sk
     FROM sales1_padded s

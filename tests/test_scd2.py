@@ -99,9 +99,12 @@ def test_apply_twice_is_noop(spark, snap1):
     assert again.merged.exceptAll(d.merged).count() == 0
 
 
-def test_null_natural_key_is_new(spark, snap1):
+def test_null_natural_key_is_one_member(spark, snap1):
     d = scd2.apply_batch(snap1, feed(spark, [member(None, cid=5)]), scd2.CUSTOMER, D2)
     assert [r.change_kind for r in d.classified.collect()] == ["new"]
+    again = scd2.apply_batch(d.merged, feed(spark, [member(None, cid=5)]), scd2.CUSTOMER, D2)
+    assert [r.change_kind for r in again.classified.collect()] == ["same"]
+    assert again.opened.count() == 0
 
 
 def test_product_cost_numeric_compare(spark):
