@@ -13,7 +13,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,16 +28,19 @@ def main() -> None:
     from starloom.plans import catalog
     from starloom.plans.batch import run_batch
     from starloom.plans.context import FEED_NAMES, Scenario
-    from starloom.session import build_session
+    from starloom.session import build_session, checkpoint_dir, scratch_path
     from starloom.sources.derived import BATCH1_DATE, BATCH2_DATE
 
-    ckpt = tempfile.mkdtemp(prefix="starloom-bench-ckpt-")
-    spark = build_session(
-        master=f"local[{cpus}]",
-        app_name="starloom-bench",
-        shuffle_partitions=shuffle,
-        extra={"spark.checkpoint.dir": ckpt, **({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"], "spark.eventLog.compress": "false"} if os.environ.get("BENCH_EVENT_LOG") else {})},
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    extra = (
+        {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log, "spark.eventLog.compress": "false"}
+        if event_log
+        else {}
     )
+    spark = build_session(master=f"local[{cpus}]", app_name="starloom-bench", shuffle_partitions=shuffle, extra=extra)
+    # the staging and warehouse folders live under the session's checkpoint folder
+    # (``spark.checkpoint.dir``); a private one is made only when that is unset
+    checkpoint_dir(spark)
 
     def force(df) -> None:
         df.write.format("noop").mode("overwrite").save()
@@ -70,7 +72,7 @@ def main() -> None:
         timed("dim_product_scd2", scd2_product)
         timed("dim_date_build", lambda: force(catalog.REGISTRY["dim_date_build"](spark, sf_dir)))
         timed("fact_sales_full", lambda: force(catalog.REGISTRY["fact_sales_full"](spark, sf_dir)))
-        wh = os.path.join(ckpt, f"bench-warehouse-{tag}")
+        wh = scratch_path(spark, f"bench-warehouse-{tag}")
         s = Scenario(spark, sf_dir)
         timed("batch_initial", lambda: run_batch(spark, {n: s.feed(n, 1) for n in FEED_NAMES}, wh, BATCH1_DATE))
         timed("batch_second", lambda: run_batch(spark, {n: s.feed(n, 2) for n in FEED_NAMES}, wh, BATCH2_DATE))
