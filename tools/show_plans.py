@@ -29,7 +29,7 @@ def main(argv) -> None:
     from starloom.operators import conform, facts, scd2
     from starloom.plans.context import Scenario
     from starloom.session import build_session
-    from starloom.sources.derived import BATCH1_DATE, BATCH2_DATE
+    from starloom.sources.derived import BATCH1_DATE
 
     spark = build_session()
     s = Scenario(spark, sf_dir)
@@ -50,7 +50,6 @@ def main(argv) -> None:
         ),
         "date dimension rows": conform.dim_date_rows(s.feed("sales_details", 2)),
     }
-    del BATCH2_DATE
     for title, df in frames.items():
         print(f"### {title}\n{compact(df)}\n")
 
