@@ -62,3 +62,17 @@ def test_read_watermarks_defaults(spark):
     control = incremental.empty_control(spark)
     got = {r.table_name: r.watermark for r in incremental.read_watermarks(control, ["a", "b"]).collect()}
     assert got == {"a": dt.date(1900, 1, 1), "b": dt.date(1900, 1, 1)}
+
+
+def test_csv_scan_nulls_na_tokens_and_keeps_blanks(spark, tmp_path):
+    from starloom.sources import schemas
+    from starloom.sources.feeds import read_csv_feed
+
+    path = tmp_path / "cats.csv"
+    path.write_text("ID,CAT,SUBCAT,MAINTENANCE\nAC_S0, Bikes ,NA,Yes\nAC_S1,null,N/A,\nAC_S2,nan,Road,No\n")
+    rows = read_csv_feed(spark, str(path), schemas.ERP_CATEGORY).orderBy("ID").collect()
+    assert [tuple(r) for r in rows] == [
+        ("AC_S0", " Bikes ", None, "Yes"),
+        ("AC_S1", None, None, None),
+        ("AC_S2", None, "Road", "No"),
+    ]
