@@ -4,7 +4,14 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import assign_dense_keys, assign_keys_in_window, next_key_start
+from starloom.operators.keys import assign_dense_keys, next_key_start
+
+
+def assign_keys_in_window(df, order, key_col, prefix=None, start=0):
+    """Reference numbering for the tests: one global window (a single task)."""
+    number = F.lit(start).cast("long") + F.row_number().over(Window.orderBy(*order)).cast("long")
+    key = F.concat(F.lit(prefix), number.cast("string")) if prefix else number
+    return df.withColumn(key_col, key)
 from starloom.operators.windows import keep_last_by, lead_within_key, nulls_win
 
 
