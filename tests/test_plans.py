@@ -44,3 +44,25 @@ def test_scan_prunes_columns(spark):
     # the landed sales feed is read with just the columns the query outputs
     schemas = _read_schemas(entry.queries()["yyyymmdd_parse"](spark, SMALL))
     assert schemas == ["struct<sls_ord_num:string,sls_order_dt:int,sls_ship_dt:int,sls_due_dt:int>"], schemas
+
+
+def test_dedupe_pre_aggregates_before_the_shuffle(spark):
+    from starloom.plans.context import Scenario
+
+    p = plan(Scenario(spark, SMALL).customers(2))
+    lines = p.splitlines()
+    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(customer_key" in line)
+    partial = next(i for i, line in enumerate(lines) if "partial_max_by" in line and "customer_key" in line)
+    assert partial > exchange  # deeper in the tree = runs before the exchange, map-side
+
+
+def test_scd2_apply_pairs_with_current_versions_only(spark):
+    from starloom.operators import scd2
+    from starloom.plans.context import Scenario
+
+    s = Scenario(spark, SMALL)
+    cc = scd2.classify_current(s.customers(2), s.customer_snapshot_1, scd2.CUSTOMER)
+    import re
+
+    optimized = cc._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"current_flag#\d+ = Y", optimized), optimized
