@@ -91,42 +91,6 @@ def fact_load_filter(fact: DataFrame, watermark: Column | None, column: str = "c
     return fact.where(watermark.isNull() | (F.col(column) > watermark))
 
 
-def control_rows(
-    loads: dict[str, tuple[DataFrame, str, str | None, str | None]],
-    version: int | Column,
-    processing_date: dt.date,
-) -> DataFrame:
-    """Control-log rows for one batch: per table ``max(watermark column)``, the largest
-    key number and the row count of what was loaded. Tables that loaded nothing get no
-    row, so their watermark does not move.
-
-    ``loads[name] = (frame, watermark_column, key_column, key_prefix)``.
-    """
-    from starloom.operators.keys import key_number
-
-    parts = []
-    for name, (df, wm_col, key_col, prefix) in loads.items():
-        key = key_number(key_col, prefix) if key_col else F.lit(None).cast("long")
-        parts.append(
-            df.agg(
-                F.max(F.col(wm_col).cast("date")).alias("watermark"),
-                F.max(key).alias("max_key"),
-                F.count(F.lit(1)).alias("n_rows"),
-            ).select(
-                F.lit(name).alias("table_name"),
-                (F.lit(version) if isinstance(version, int) else version).cast("long").alias("version"),
-                "watermark",
-                "max_key",
-                "n_rows",
-                F.lit(processing_date).alias("processing_date"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.where(F.col("n_rows") > 0)
-
-
 def advance(control: DataFrame, new_rows: DataFrame) -> DataFrame:
     """The control log after appending a batch's rows."""
     return control.unionByName(new_rows.select(*control.columns))
