@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm.byte_bpe import op3_byte_bpe
 from starloom.llm.common import table
 from starloom.llm.toxicity import op2_toxicity
 
@@ -16,6 +18,14 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {"op2_toxicity": _op2}
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return op3_byte_bpe(spark, table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+QUERIES: dict[str, Query] = {
+    "op2_toxicity": _op2,
+    "op3_byte_bpe": _op3,
+}
 
 ORACLE_SQL: dict[str, str] = {}
