@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.byte_bpe import op3_byte_bpe
 from starloom.llm.common import table
+from starloom.llm.quality_rules import op4_quality_rules
 from starloom.llm.toxicity import op2_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,9 +24,14 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_byte_bpe(spark, table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_quality_rules(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_toxicity": _op2,
     "op3_byte_bpe": _op3,
+    "op4_quality_rules": _op4,
 }
 
 ORACLE_SQL: dict[str, str] = {}
