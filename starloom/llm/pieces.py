@@ -18,6 +18,8 @@ from starloom.llm.common import MEMO_ENTRIES
 #: a space contains the pattern's, so doubtful characters only make a piece longer).
 ODD_SPACE = re.compile(r"\s\s|[^\S \n]")
 SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+#: Marks that, after a letter or number, begin a match of their own.
+MARKS = ".,;:!?%&#*$|"
 
 
 def cut(text: str) -> list[str]:
@@ -50,6 +52,28 @@ class PieceIds:
             part = missing[i : i + 20_000]
             memo.update(zip(part, self.encode([full(p) for p in part]), strict=True))
 
+    def _split(self, missing: set[str]) -> tuple[list[str], list[tuple[str, str, str]], set[str], set[str]]:
+        """Missing pieces to encode whole; those made of a line feed or a body, and marks."""
+        single, made, bodies, bare = [], [], set(), set()
+        for p in missing:
+            body = p.rstrip(MARKS)
+            if body and body[-1].isalnum():
+                tail = p[len(body) :]
+                if body[0] == "\n" and len(body) > 1 and not body[1].isspace():
+                    made.append((p, body, tail))
+                    bare.add(body[1:])
+                    bare.add("\n")
+                    if tail:
+                        bare.add(tail)
+                    continue
+                if tail:
+                    made.append((p, body, tail))
+                    bodies.add(body)
+                    bare.add(tail)
+                    continue
+            single.append(p)
+        return single, made, bodies, bare
+
     def pieces(self, texts: list[str]) -> list[list[str]]:
         """The pieces of each text, with the ids of all of them in the memo."""
         if len(self.after) > MEMO_ENTRIES:
@@ -60,8 +84,14 @@ class PieceIds:
         later: set[str] = set()
         for c in cuts:
             later.update(c[1:])
-        self._fill(self.after, list(later.difference(self.after)), whole)
-        self._fill(self.first, list({c[0] for c in cuts}.difference(self.first)), str)
+        single, made, bodies, bare = self._split(later.difference(self.after))
+        bare.update(c[0] for c in cuts)
+        self._fill(self.first, list(bare.difference(self.first)), str)
+        self._fill(self.after, list(bodies.difference(self.after).union(single)), whole)
+        after, first = self.after, self.first
+        for p, body, tail in made:
+            head = first["\n"] + first[body[1:]] if body[0] == "\n" else after[body]
+            after[p] = head + first[tail] if tail else head
         return cuts
 
     def ids(self, texts: list[str]) -> list[bytes]:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.byte_bpe import op3_byte_bpe
 from starloom.llm.common import table
+from starloom.llm.packing import op8_packing
+from starloom.llm.quality_classifier import op5_quality_classifier
 from starloom.llm.quality_rules import op4_quality_rules
 from starloom.llm.toxicity import op2_toxicity
 
@@ -28,10 +30,20 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_quality_rules(spark, table(spark, sf_dir, "documents"))
 
 
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_quality_classifier(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_packing(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_toxicity": _op2,
     "op3_byte_bpe": _op3,
     "op4_quality_rules": _op4,
+    "op5_quality_classifier": _op5,
+    "op8_packing": _op8,
 }
 
 ORACLE_SQL: dict[str, str] = {}
