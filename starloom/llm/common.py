@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries a worker's memo may hold before it starts again from empty.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 700_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +30,8 @@ def labelled_sample(
     in_training: Column,
     per_label: int,
     max_chars: int,
-) -> list[tuple[str, int]]:
-    """A bounded training sample ``[(text, label)]`` on the driver.
+) -> DataFrame:
+    """A bounded training sample ``doc_id, text, y``.
 
     At most ``per_label`` documents of each of the labels 0 and 1, the first by the
     xxhash64 of their id, so the choice depends on the ids alone. Rows with a null id or
@@ -46,8 +48,24 @@ def labelled_sample(
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.where(F.length("text") <= max_chars)
     # at most 2 * per_label ids are broadcast
-    found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
-    return [(r.text, r.y) for r in sorted(found.collect(), key=lambda r: (r.doc_id, r.y))]
+    found = texts.join(F.broadcast(ids), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+
+
+def train_in_task(sample: DataFrame, train: Callable[[list[tuple[str, int]]], object]) -> object:
+    """``train([(text, label)])`` in one task over a bounded sample, in the order of ids.
+
+    The task reruns elsewhere if its executor is lost; only the fitted model comes back.
+    """
+
+    def run(batches):
+        rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        rows.sort(key=lambda r: (r[0], r[1]))
+        model = train([(text, y) for _, y, text in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    fitted = sample.select("doc_id", "y", "text").repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(fitted[0].model) if fitted else train([])
 
 
 class Memo(dict):

@@ -8,7 +8,7 @@ reaches each sentence through the noisy-or, which is what lets the model say aft
 which sentences offend. Scoring removes the bias' own share (a sentence without a weighted
 word counts as probability 0), so a long clean document does not drift towards 1.
 
-Training runs in numpy on the driver over a bounded sample (``per_label`` documents of each
+Training runs in numpy, in one task, over a bounded sample (``per_label`` documents of each
 label); the model has a fixed size (``buckets`` float32 weights) whatever the corpus. Scoring
 is one Arrow-batched pass over whole texts with no shuffle.
 """
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Memo, crc32_fold, labelled_sample, worker_state
+from starloom.llm.common import Memo, crc32_fold, labelled_sample, train_in_task, worker_state
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 PUNCTUATION = " \t,;:\"'()[]{}<>*#$%&|-_"
@@ -43,7 +43,7 @@ class Settings:
     """Bounds and training parameters."""
 
     buckets: int = 1 << 18
-    per_label: int = 2500
+    per_label: int = 2000
     max_chars: int = 200_000
     min_documents: int = 4
     steps: int = 120
@@ -92,14 +92,13 @@ def train(sample: list[tuple[str, int]], settings: Settings = Settings()) -> Mod
                 sentence_doc.append(d)
     if not words:
         return Model(weights, -12.0, settings.span_score)
-    words, doc_of = np.array(words, np.int64), np.array(sentence_doc, np.int64)
-    sentence_of = np.repeat(np.arange(len(sentence_len)), sentence_len)
+    words, doc_of = np.array(words, np.int32), np.array(sentence_doc, np.int32)
+    sentence_of = np.repeat(np.arange(len(sentence_len), dtype=np.int32), sentence_len)
     features = [word_features(w, settings.buckets) for w in word_id]
     feature_word = np.repeat(np.arange(len(features)), [len(f) for f in features])
     feature = np.array([x for f in features for x in f], np.int64)
     # features of too few documents keep weight 0: they cannot be told from noise
-    word_docs = np.unique(words * len(sample) + doc_of[sentence_of])
-    in_docs = [np.empty(0, np.int64)]
+    word_docs = np.unique(words.astype(np.int64) * len(sample) + doc_of[sentence_of])
     starts = np.searchsorted(feature_word, np.arange(len(features) + 1))
     counts = np.diff(starts)
     rows = word_docs // len(sample)
@@ -184,7 +183,7 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     rows = labelled_sample(
         documents, labels, "toxic", crc32_fold(F.col("doc_id"), 5) != 0, settings.per_label, settings.max_chars
     )
-    return train(rows, settings)
+    return train_in_task(rows, lambda sample: train(sample, settings))
 
 
 def score_documents(documents: DataFrame, model: Model) -> DataFrame:
