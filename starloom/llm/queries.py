@@ -12,6 +12,7 @@ from starloom.llm.common import table
 from starloom.llm.packing import op8_packing
 from starloom.llm.quality_classifier import op5_quality_classifier
 from starloom.llm.quality_rules import op4_quality_rules
+from starloom.llm.token_files import op10_token_files
 from starloom.llm.toxicity import op2_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,12 +39,17 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_packing(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_toxicity": _op2,
     "op3_byte_bpe": _op3,
     "op4_quality_rules": _op4,
     "op5_quality_classifier": _op5,
     "op8_packing": _op8,
+    "op10_token_files": _op10,
 }
 
 ORACLE_SQL: dict[str, str] = {}
