@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.byte_bpe import op3_byte_bpe
 from starloom.llm.common import table
+from starloom.llm.jaccard_join import op7_jaccard_join
 from starloom.llm.packing import op8_packing
 from starloom.llm.quality_classifier import op5_quality_classifier
 from starloom.llm.quality_rules import op4_quality_rules
@@ -35,6 +36,10 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_quality_classifier(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_jaccard_join(spark, table(spark, sf_dir, "documents"))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_packing(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "op3_byte_bpe": _op3,
     "op4_quality_rules": _op4,
     "op5_quality_classifier": _op5,
+    "op7_jaccard_join": _op7,
     "op8_packing": _op8,
     "op10_token_files": _op10,
 }
