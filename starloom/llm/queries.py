@@ -14,6 +14,7 @@ from starloom.llm.packing import op8_packing
 from starloom.llm.quality_classifier import op5_quality_classifier
 from starloom.llm.quality_rules import op4_quality_rules
 from starloom.llm.token_files import op10_token_files
+from starloom.llm.topk_search import op9_topk_search
 from starloom.llm.toxicity import op2_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,10 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_packing(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_topk_search(spark, table(spark, sf_dir, "embeddings"))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality_classifier": _op5,
     "op7_jaccard_join": _op7,
     "op8_packing": _op8,
+    "op9_topk_search": _op9,
     "op10_token_files": _op10,
 }
 
