@@ -16,6 +16,7 @@ from starloom.llm.quality_rules import op4_quality_rules
 from starloom.llm.token_files import op10_token_files
 from starloom.llm.topk_search import op9_topk_search
 from starloom.llm.toxicity import op2_toxicity
+from starloom.llm.url_filters import op6_url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,10 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_quality_classifier(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_url_filters(spark, table(spark, sf_dir, "pages"))
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_jaccard_join(spark, table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op3_byte_bpe": _op3,
     "op4_quality_rules": _op4,
     "op5_quality_classifier": _op5,
+    "op6_url_filters": _op6,
     "op7_jaccard_join": _op7,
     "op8_packing": _op8,
     "op9_topk_search": _op9,
