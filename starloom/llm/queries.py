@@ -13,6 +13,7 @@ from starloom.llm.jaccard_join import op7_jaccard_join
 from starloom.llm.packing import op8_packing
 from starloom.llm.quality_classifier import op5_quality_classifier
 from starloom.llm.quality_rules import op4_quality_rules
+from starloom.llm.token_counts import op1_token_counts
 from starloom.llm.token_files import op10_token_files
 from starloom.llm.topk_search import op9_topk_search
 from starloom.llm.toxicity import op2_toxicity
@@ -21,6 +22,11 @@ from starloom.llm.url_filters import op6_url_filters
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition = public_tokenizers.path("byte_bpe_50k.json")
+    return op1_token_counts(spark, table(spark, sf_dir, "documents"), definition, public_tokenizers.PATTERN)
+
+
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +65,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": _op1,
     "op2_toxicity": _op2,
     "op3_byte_bpe": _op3,
     "op4_quality_rules": _op4,
