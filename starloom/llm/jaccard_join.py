@@ -316,8 +316,10 @@ def one_per_group(documents: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns: of each component the one with the
     smallest id (its component's id). Documents without words or without an id all stay."""
     comps = with_components(documents).where(F.col("component_id") != F.col("doc_id"))
-    gone = comps.select(F.col("doc_id").alias("gone_id")).distinct()
-    return documents.join(gone, documents.doc_id == gone.gone_id, "left_anti")
+    gone = _stored(comps.select(F.col("doc_id").alias("gone_id")).distinct(), "copies")
+    if gone.count() <= SHARED_IDS:
+        gone = F.broadcast(gone)
+    return documents.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
 
 
 def op7_jaccard_join(spark: SparkSession, documents: DataFrame) -> DataFrame:
