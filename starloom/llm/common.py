@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries a worker's memo may hold before it starts again from empty.
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

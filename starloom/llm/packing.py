@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import worker_state
-from starloom.llm.pieces import PieceIds, library_encoder, slices
+from starloom.llm.pieces import PieceIds, library_encoder, plain, slices
 
 BLOCK_CHARS = 6_000_000
 SENTENCE_PENALTY = 1.0
@@ -38,52 +39,69 @@ GRID = 16
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-class Marks(dict):
-    """piece -> 4 * tokens + 2 if it begins a line + 1 if it ends a sentence."""
-
-    def __init__(self, ids: PieceIds):
-        super().__init__()
-        self.ids = ids
-
-    def __missing__(self, piece: str) -> int:
-        body = piece.rstrip("\"')]}*#%&$")
-        value = len(self.ids.after[piece]) + 2 * piece.startswith("\n") + (body[-1:] in (".", "!", "?"))
-        self[piece] = value
-        return value
-
-
 class Document:
-    """A document, or what a window has left of it: ids from token ``start`` on, and the
-    places (from there) after which it may be cut before its end."""
-
-    __slots__ = ("doc_id", "start", "total", "ids", "cuts", "penalties")
-
-    def __init__(self, doc_id, start, total, ids, cuts, penalties):
-        self.doc_id, self.start, self.total, self.ids, self.cuts, self.penalties = doc_id, start, total, ids, cuts, penalties
-
-    def rest(self, tokens: int) -> Document:
-        """The document without its first tokens."""
-        keep = self.cuts > tokens
-        return Document(self.doc_id, self.start + tokens, self.total, self.ids[4 * tokens :], self.cuts[keep] - tokens, self.penalties[keep])
-
-
-def boundaries(counts: np.ndarray, ends: np.ndarray, lines: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cut places strictly inside a document of ``total`` tokens, and their penalties."""
-    after = np.cumsum(counts)
-    cut = ends.copy()
-    cut[:-1] |= lines[1:]
-    at = np.unique(after[cut])
-    at = at[(at > 0) & (at < total)]
+    """A document, or what a window has left of it: its ids from token ``start`` on."""
+
+    __slots__ = ("doc_id", "start", "total", "ids")
+
+    def __init__(self, doc_id, start: int, total: int, ids: bytes):
+        self.doc_id, self.start, self.total, self.ids = doc_id, start, total, ids
+
+
+class Block:
+    """Consecutive documents, the places in their stream where it may be cut (ascending, the
+    last one its end) and the penalty of each cut."""
+
+    def __init__(self, documents: list[Document], at: np.ndarray, penalties: np.ndarray):
+        self.documents, self.at, self.penalties = documents, at, penalties
+
+    def then(self, other: Block) -> Block:
+        shift = int(self.at[-1]) if len(self.at) else 0
+        at, penalties = np.concatenate([self.at, other.at + shift]), np.concatenate([self.penalties, other.penalties])
+        return Block(self.documents + other.documents, at, penalties)
+
+
+EMPTY = Block([], np.empty(0, np.int64), np.empty(0))
+
+
+def sentence_ends(text: str, pieces: list[str]) -> np.ndarray:
+    """For each piece whether a sentence or line ends with it (the last one's does not count)."""
+    if plain(text):
+        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        gaps = np.flatnonzero((data == 32) | (data == 10))
+        before = data[gaps - 1]
+        ends = (data[gaps] == 10) | (before == 46) | (before == 33) | (before == 63)
+        return np.append(ends, False)
+    return np.array([p[-1:] in (".", "!", "?", "\n") for p in pieces[:-1]] + [False])
+
+
+def read_block(doc_ids: list, texts: list[str], ids: PieceIds, end: bytes) -> Block:
+    """The documents' ids, ``end`` after each, and their cut places: document ends, ends of
+    sentences and lines, and a grid inside longer sentences."""
+    documents, lengths, ends = [], [], []
+    get = ids.after.__getitem__
+    for doc_id, text, pieces in zip(doc_ids, texts, ids.pieces(texts), strict=True):
+        parts = [ids.first[pieces[0]], *map(get, islice(pieces, 1, None)), end]
+        whole = b"".join(parts)
+        documents.append(Document(doc_id, 0, len(whole) // 4, whole))
+        lengths.append(np.fromiter(map(len, parts), np.int64, len(parts)))
+        ends.append(sentence_ends(text, pieces))
+        ends.append(np.ones(1, bool))
+    if not documents:
+        return EMPTY
+    after = np.cumsum(np.concatenate(lengths)) // 4
+    last = np.cumsum([d.total for d in documents])
+    at = np.union1d(after[np.concatenate(ends)], last)
+    at = at[at > 0]
     penalties = np.full(len(at), SENTENCE_PENALTY)
-    edges = np.concatenate([[0], at, [total]])
+    penalties[np.searchsorted(at, last)] = 0.0
+    edges = np.concatenate([[0], at])
     wide = np.flatnonzero(np.diff(edges) > 1.5 * GRID)
-    if len(wide):
-        begin, count = edges[wide] + GRID, (edges[wide + 1] - edges[wide] - GRID // 2 - 1) // GRID
-        grid = np.repeat(begin - GRID * (np.cumsum(count) - count), count) + GRID * np.arange(count.sum())
-        order = np.argsort(np.concatenate([at, grid]), kind="stable")
-        at = np.concatenate([at, grid])[order]
-        penalties = np.concatenate([penalties, np.full(len(grid), GRID_PENALTY)])[order]
-    return at.astype(np.int64), penalties
+    begin, count = edges[wide] + GRID, (edges[wide + 1] - edges[wide] - GRID // 2 - 1) // GRID
+    grid = np.repeat(begin - GRID * (np.cumsum(count) - count), count) + GRID * np.arange(count.sum())
+    order = np.argsort(np.concatenate([at, grid]), kind="stable")
+    penalties = np.concatenate([penalties, np.full(len(grid), GRID_PENALTY)])[order]
+    return Block(documents, np.concatenate([at, grid])[order], penalties)
 
 
 def windows(at: np.ndarray, penalties: np.ndarray, length: int) -> list[int]:
@@ -109,17 +127,15 @@ def windows(at: np.ndarray, penalties: np.ndarray, length: int) -> list[int]:
     return ends[::-1]
 
 
-def pack_block(documents: list[Document], length: int, first_sequence: int, last: bool):
+def pack_block(block: Block, length: int, first_sequence: int, last: bool):
     """Pack a block; unless it is the last, its last window is handed back unpacked.
 
     Returns piece columns (document index, start, length, sequence, offset, ids), the number
-    of sequences, and the documents handed back.
+    of sequences, and the block handed back.
     """
-    sizes = np.array([len(d.ids) // 4 for d in documents], np.int64)
-    begins = np.concatenate([[0], np.cumsum(sizes)])
-    at = np.concatenate([np.concatenate([d.cuts + b, [b + n]]) for d, b, n in zip(documents, begins, sizes, strict=False)])
-    penalty = np.concatenate([np.append(d.penalties, 0.0) for d in documents])
-    chosen = windows(np.concatenate([[0], at]), np.concatenate([[0.0], penalty]), length)
+    documents, at = block.documents, block.at
+    begins = np.cumsum([0, *(len(d.ids) // 4 for d in documents)])
+    chosen = windows(np.concatenate([[0], at]), np.concatenate([[0.0], block.penalties]), length)
     ends = np.concatenate([[0], at[np.array(chosen, np.int64) - 1]])
     if not last:
         ends = ends[:-1]
@@ -128,22 +144,28 @@ def pack_block(documents: list[Document], length: int, first_sequence: int, last
     left, right = edges[:-1], edges[1:]
     doc = np.searchsorted(begins, left, side="right") - 1
     window = np.searchsorted(ends, left, side="right") - 1
-    starts = left - begins[doc] + np.array([d.start for d in documents], np.int64)[doc]
     inside = left - begins[doc]
+    starts = inside + np.array([d.start for d in documents], np.int64)[doc]
     ids = [documents[d].ids[4 * a : 4 * (a + n)] for d, a, n in zip(doc.tolist(), inside.tolist(), (right - left).tolist(), strict=True)]
     columns = (doc, starts, right - left, first_sequence + window, left - ends[window], ids)
+    if last:
+        return columns, len(ends) - 1, EMPTY
     keep = int(np.searchsorted(begins, stop, side="right") - 1)
-    rest = [] if last else [documents[keep].rest(stop - int(begins[keep])), *documents[keep + 1 :]] if keep < len(documents) else []
-    return columns, len(ends) - 1, rest
+    rest, cut = documents[keep:], stop - int(begins[keep])
+    if rest and cut:
+        d = rest[0]
+        rest[0] = Document(d.doc_id, d.start + cut, d.total, d.ids[4 * cut :])
+    kept = at > stop
+    return columns, len(ends) - 1, Block(rest, at[kept] - stop, block.penalties[kept])
 
 
-def pack(documents: DataFrame, tokenizer_file: str, end_id: int = 0, length: int = 1024) -> DataFrame:
+def pack(documents: DataFrame, tokenizer_file: str, end_id: int = 0, length: int = 1024, pattern: str | None = None) -> DataFrame:
     """Pieces ``doc_id, start, length, doc_tokens, sequence_id, offset, ids`` of all documents.
 
     Each document's ids are followed by ``end_id``; a null or empty text is that id alone.
     Every id lies in exactly one piece, sequences hold at most ``length`` ids without gaps, and
     a document's pieces follow each other. Repeated rows are packed each; other columns are not
-    carried. An empty table gives no pieces.
+    carried. An empty table gives no pieces. ``pattern``: see ``pieces.library_encoder``.
     """
     with open(tokenizer_file, "rb") as f:
         data = f.read()
@@ -153,36 +175,14 @@ def pack(documents: DataFrame, tokenizer_file: str, end_id: int = 0, length: int
     id_type = documents.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
-    def state():
-        ids = PieceIds(library_encoder(shared.value))
-        return ids, Marks(ids)
-
-    def read(doc_ids: list, texts: list[str], ids: PieceIds, marks: Marks) -> list[Document]:
-        out = []
-        if len(marks) > 2 * len(ids.after) + 100_000:
-            marks.clear()
-        get, mark = ids.after.__getitem__, marks.__getitem__
-        for doc_id, pieces in zip(doc_ids, ids.pieces(texts), strict=True):
-            first, later = ids.first[pieces[0]], pieces[1:]
-            whole = b"".join([first, *map(get, later), end])
-            value = np.fromiter(map(mark, later), np.int64, len(later))
-            counts = np.concatenate([[len(first) // 4], value >> 2])
-            ends = np.concatenate([[pieces[0][-1:] in (".", "!", "?")], (value & 1) > 0])
-            lines = np.concatenate([[False], (value & 2) > 0])
-            total = len(whole) // 4
-            out.append(Document(doc_id, 0, total, whole, *boundaries(counts, ends, lines, total)))
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, marks = worker_state(key, state)
-        sequence = TaskContext.get().partitionId() << 40
-        waiting: list[Document] = []
-        kind = None
+        ids = worker_state(key, lambda: PieceIds(library_encoder(shared.value, pattern)))
+        sequence, waiting, kind = TaskContext.get().partitionId() << 40, EMPTY, None
 
         def rows(last: bool) -> pa.RecordBatch:
             nonlocal sequence, waiting
-            held = waiting
-            (doc, start, size, seq, offset, parts), n, waiting = pack_block(held, length, sequence, last)
+            held = waiting.documents
+            (doc, start, size, seq, offset, parts), n, waiting = pack_block(waiting, length, sequence, last)
             sequence += n
             columns = [
                 pa.array([held[d].doc_id for d in doc.tolist()], kind),
@@ -195,9 +195,9 @@ def pack(documents: DataFrame, tokenizer_file: str, end_id: int = 0, length: int
             kind = batch.column(0).type
             doc_ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for i, j in slices(texts, BLOCK_CHARS):
-                waiting = waiting + read(doc_ids[i:j], texts[i:j], ids, marks)
+                waiting = waiting.then(read_block(doc_ids[i:j], texts[i:j], ids, end))
                 yield rows(last=False)
-        if waiting:
+        if waiting.documents:
             yield rows(last=True)
 
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {SCHEMA}")
@@ -210,6 +210,6 @@ def digest(pieces: DataFrame) -> DataFrame:
     )
 
 
-def op8_packing(spark: SparkSession, documents: DataFrame, tokenizer_file: str) -> DataFrame:
+def op8_packing(spark: SparkSession, documents: DataFrame, tokenizer_file: str, pattern: str) -> DataFrame:
     """Pack all documents into sequences of at most 1024 ids."""
-    return digest(pack(documents, tokenizer_file))
+    return digest(pack(documents, tokenizer_file, pattern=pattern))

@@ -53,7 +53,8 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op8_packing(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    definition = public_tokenizers.path("byte_bpe_50k.json")
+    return op8_packing(spark, table(spark, sf_dir, "documents"), definition, public_tokenizers.PATTERN)
 
 
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
