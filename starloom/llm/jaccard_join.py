@@ -16,8 +16,9 @@ shares ``min(l1, l2)`` shingles of the prefixes of that length.
 * Large groups of near copies: before pairs are listed, star rounds verify every node against
   one pivot per shingle bucket, and buckets that lie in one component are dropped. The pairs
   listed afterwards are those between different components, with none left out. Links inside
-  a component would not change the result, which is a component per document. A listed pair is
-  dropped if the places of its last shared shingle already rule out enough overlap.
+  a component would not change the result, which is a component per document. Pairs that exact
+  bounds on the overlap rule out are not listed: sizes, rare and frequent shingles apart, a
+  512-bit signature of each set, and the places of shared shingles in both orders.
 * Verification is exact, on the sets of the whole texts of both documents.
 """
 
@@ -46,7 +47,9 @@ FREQUENT = 2_000_000
 SHARED_IDS = 2_000_000
 ROUNDS = 2
 LONGEST_L = 30_000
-SET_SCHEMA = "n_shingles long, set_hi long, set_lo long, l int, rare long, tokens array<long>"
+#: What checking a pair costs, in postings met (most pairs fall to the bounds before their texts).
+CHECK_COST = 2
+SET_SCHEMA = "n_shingles long, set_hi long, set_lo long, l int, rare long, bits array<long>, tokens array<long>"
 
 
 def word_hash(word: bytes) -> int:
@@ -69,6 +72,13 @@ def shingles(text: str, memo: Memo) -> np.ndarray:
     return np.unique(out)
 
 
+def signature(found: np.ndarray) -> np.ndarray:
+    """512 bits, one set for the top nine bits of every shingle hash, as eight integers."""
+    flags = np.zeros(512, np.uint8)
+    flags[(found >> np.uint64(55)).astype(np.int64)] = 1
+    return np.packbits(flags).view("<i8")
+
+
 def hasher() -> Memo:
     memo = worker_state("shingle_words", lambda: Memo(word_hash))
     memo.trim()
@@ -83,8 +93,10 @@ def needed(n):
 def prefix(found: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> tuple[int, int, np.ndarray]:
     """``l``, the number of rare shingles, and the l-prefix of an ascending set, rare first.
 
-    The estimated cost is the mean sampled frequency of the 1-prefix. Where the 1-prefix holds
-    rare shingles alone, hardly anything can meet it, and l stays 1.
+    A longer prefix meets more postings, S(l) by the estimated frequencies, but at most S(l) / l
+    documents can share l of them and need a check: l is the power of two, up to a tenth of the
+    set, of least ``S(l) * (1 + CHECK_COST / l)``. Where the 1-prefix holds rare shingles alone,
+    hardly anything can meet it, and l stays 1.
     """
     n = len(found)
     t = needed(n)
@@ -95,9 +107,11 @@ def prefix(found: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> tuple
     if often.any():
         order = np.lexsort((found, weight))
         found, weight = found[order], weight[order]
-    cost = weight[: n - t + 1].mean()
-    l = 1 + (0 if cost == 0 else n // 50 if cost <= 2 else n // 20 if cost <= 16 else n // 10)  # noqa: E741
-    l = max(1, min(l, t, LONGEST_L))  # noqa: E741
+    l, base = 1, n - t + 1  # noqa: E741
+    if weight[base - 1]:
+        met = np.cumsum(np.maximum(SAMPLE * weight, 1))
+        tries = 2 ** np.arange(max(1, min(t, 1 + n // 10, LONGEST_L).bit_length()))
+        l = int(tries[np.argmin(met[base + tries - 2] * (1 + CHECK_COST / tries))])  # noqa: E741
     return l, int((weight == 0).sum()), found[: n - t + l]
 
 
@@ -120,7 +134,7 @@ def _sets(documents: DataFrame, frequent: tuple[np.ndarray, np.ndarray] | None)
                     l, rare, tokens = 0, 0, found  # noqa: E741
                 else:
                     l, rare, tokens = prefix(found, *shared.value) if len(found) else (0, 0, found)  # noqa: E741
-                rows.append((doc_id.as_py(), len(found), hi, lo, l, rare, tokens.view(np.int64)))
+                rows.append((doc_id.as_py(), len(found), hi, lo, l, rare, signature(found), tokens.view(np.int64)))
                 if len(rows) >= 1000:
                     yield record(rows, batch.schema.field(0).type)
                     rows = []
@@ -128,11 +142,11 @@ def _sets(documents: DataFrame, frequent: tuple[np.ndarray, np.ndarray] | None)
                 yield record(rows, batch.schema.field(0).type)
 
     def record(rows: list, kind: pa.DataType) -> pa.RecordBatch:
-        ids, n, hi, lo, l, rare, tokens = zip(*rows, strict=True)  # noqa: E741
+        ids, n, hi, lo, l, rare, bits, tokens = zip(*rows, strict=True)  # noqa: E741
         offsets = np.cumsum([0, *map(len, tokens)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(tokens)))
-        columns = [pa.array(ids, kind), *(pa.array(x, pa.int64()) for x in (n, hi, lo)), pa.array(l, pa.int32()), pa.array(rare, pa.int64()), lists]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_hi", "set_lo", "l", "rare", "tokens"])
+        columns = [pa.array(ids, kind), *(pa.array(x, pa.int64()) for x in (n, hi, lo)), pa.array(l, pa.int32()), pa.array(rare, pa.int64()), pa.array(bits, pa.list_(pa.int64())), lists]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_hi", "set_lo", "l", "rare", "bits", "tokens"])
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {SET_SCHEMA}")
@@ -191,10 +205,10 @@ def verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def _postings(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``tok, node, n, l, rare, pos`` of the shingles that two or more nodes have in their prefix;
+    """``tok, node, n, l, rare, bits, pos`` of the shingles that two or more nodes have in their prefix;
     ``pos`` is the place in the node's order, from 0."""
     rows = sets.join(nodes, (sets.doc_id == nodes.node) & (sets.set_hi == nodes.hi) & (sets.set_lo == nodes.lo))
-    rows = rows.select("node", F.col("n_shingles").alias("n"), "l", "rare", F.posexplode("tokens").alias("pos", "tok"))
+    rows = rows.select("node", F.col("n_shingles").alias("n"), "l", "rare", "bits", F.posexplode("tokens").alias("pos", "tok"))
     shared = rows.groupBy("tok").agg(F.count("*").alias("df")).where(F.col("df") >= 2).select("tok")
     return _stored(rows.join(shared, "tok"), "postings")
 
@@ -238,8 +252,9 @@ def _sizes(n, m):
     return (5 * n >= 4 * m) & (5 * m >= 4 * n)
 
 
-def _pairs(postings: DataFrame) -> DataFrame:
-    """All pairs of nodes in different components that share enough prefix shingles.
+def _meetings(postings: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of postings of one shingle, from different components, that the bounds on
+    overlap do not rule out.
 
     In each bucket the nodes outside its largest component meet all nodes, so a bucket that a
     large component dominates is not squared.
@@ -256,10 +271,23 @@ def _pairs(postings: DataFrame) -> DataFrame:
     # at most min(pos) + 1 shingles are shared up to here: too few already rules the pair out
     upto = F.least("x.pos", "y.pos") + 1
     chance = _possible(upto, F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))
-    met = left.join(right, (F.col("x.tok") == F.col("y.tok")) & apart & once & inside & chance)
+    # a rare shingle is rare in both sets, so rare and frequent ones overlap by themselves
+    rare, often = F.least("x.rare", "y.rare"), F.least(F.col("x.n") - F.col("x.rare"), F.col("y.n") - F.col("y.rare"))
+    kinds = 9 * (rare + often) >= 4 * (F.col("x.n") + F.col("y.n"))
+    # a signature bit that only one set has stands for a shingle that the other lacks
+    only = [F.lit(0), F.lit(0)]
+    for i in range(8):
+        a, b = F.get(F.col("x.bits"), F.lit(i)), F.get(F.col("y.bits"), F.lit(i))
+        only = [only[0] + F.bit_count(a.bitwiseAND(F.bitwise_not(b))), only[1] + F.bit_count(b.bitwiseAND(F.bitwise_not(a)))]
+    bits = 9 * F.least(F.col("x.n") - only[0], F.col("y.n") - only[1]) >= 4 * (F.col("x.n") + F.col("y.n"))
+    met = left.join(right, (F.col("x.tok") == F.col("y.tok")) & apart & once & inside & chance & kinds & bits)
     x, y = (F.struct(*[F.col(f"{side}.{c}") for c in ("node", "n", "pos")]) for side in "xy")
-    met = met.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), l.alias("l"))  # by node
-    met = met.groupBy("a.node", F.col("b.node").alias("other")).agg(
+    return met.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), l.alias("l"))  # by node
+
+
+def _pairs(postings: DataFrame) -> DataFrame:
+    """All pairs of nodes in different components that share enough prefix shingles."""
+    met = _meetings(postings).groupBy("a.node", F.col("b.node").alias("other")).agg(
         F.count("*").alias("c"),
         F.max("l").alias("l"),
         *[F.max(f"{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in ("n", "pos")],
