@@ -143,14 +143,23 @@ def product_validity(info: DataFrame) -> DataFrame:
     )
 
 
+def latest_products(info: DataFrame) -> DataFrame:
+    """One row per product id: the latest start date wins (a missing one loses), then the
+    greater key and remaining columns. Rows without an id are one product, so matching a feed
+    against a dimension pairs every feed row with one version at most."""
+    rest = [c for c in info.columns if c not in ("prd_id", "prd_start_dt", "prd_key")]
+    rank = [part for c in ("prd_start_dt", "prd_key", *rest) for part in nulls_lose(c)]
+    return keep_last_by(info, ["prd_id"], rank)
+
+
 def conform_product(info: DataFrame, categories: DataFrame) -> DataFrame:
-    """Products with derived validity and category attributes.
+    """Products, one row per product id, with derived validity and category attributes.
 
     The category table is joined without a broadcast hint: Spark broadcasts it only
     when its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and
     shuffles otherwise.
     """
-    v = product_validity(info)
+    v = product_validity(latest_products(info))
     cat = categories.select(
         F.col("ID").alias("_cat_id"),
         F.col("CAT").alias("category"),

@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from starloom.session import scratch_path
 
 _PART, _POS, _N, _TIE, _OFF = "_sk_part", "_sk_pos", "_sk_n", "_sk_tie", "_sk_off"
-MAX_INLINE_OFFSETS = 4096  # above this many partitions the offsets travel as a broadcast
 
 
 def key_number(key: Column | str, prefix: str | None) -> Column:
@@ -99,14 +98,9 @@ def assign_dense_keys(
         offsets.append(acc)
         acc += counts.get(part, 0)
     base = _scalar_value(spark, start)
-    if len(offsets) <= MAX_INLINE_OFFSETS:
-        offset_of_part = F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<bigint>"), F.col(_PART) + 1)
-        numbered = ranged.withColumn(_OFF, offset_of_part)
-    else:
-        # very many partitions: ship the offsets as a broadcast table instead of a plan
-        # literal (still one row per partition, a bounded size)
-        table = spark.createDataFrame(list(enumerate(offsets)), f"{_PART} int, {_OFF} bigint")
-        numbered = ranged.join(F.broadcast(table), _PART, "inner")
+    # one literal, whatever the number of partitions: folded to an array when the plan is made
+    array = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
+    numbered = ranged.withColumn(_OFF, F.element_at(array, F.col(_PART) + 1))
     number = F.lit(base).cast("long") + F.col(_OFF) + F.col(_POS) + 1
     key = F.concat(F.lit(prefix), number.cast("string")) if prefix else number.cast("long")
     return numbered.withColumn(key_col, key).drop(_PART, _POS, _OFF)

@@ -12,7 +12,7 @@ from starloom.functions.dates import clamp_future, parse_iso_date, parse_yyyymmd
 from starloom.functions.text import head_tokens, std_upper, strip_ws
 from starloom.operators import audit, conform, facts, incremental, scd2
 from starloom.operators.keys import assign_dense_keys, key_number, next_key_start
-from starloom.plans.batch import read_warehouse
+from starloom.plans.batch import BatchOptions, StoppedBeforeCommit, read_warehouse, run_batch
 from starloom.plans.context import FEED_NAMES, Scenario, loaded_warehouse
 from starloom.session import scratch_path
 from starloom.sources import feeds as feeds_io
@@ -156,19 +156,19 @@ def _dim_date_unparsed(s: Scenario) -> DataFrame:
 @query("sk_assign_customer")
 def _sk_customer(s: Scenario) -> DataFrame:
     """K1: CUST<n> in create-date order on the initial load."""
-    return s.customer_snapshot_1.select("customer_key", "customer_id", "customer_sk")
+    return s.customer_snapshot_full.select("customer_key", "customer_id", "customer_sk")
 
 
 @query("sk_assign_date")
 def _sk_date(s: Scenario) -> DataFrame:
-    """K2: DATE<n> for the batch-1 dates."""
-    return s.dim_date_1.select("full_date", "date_sk")
+    """K2: DATE<n> for all dates."""
+    return s.dim_date_full.select("full_date", "date_sk")
 
 
 @query("sk_assign_fact")
 def _sk_fact(s: Scenario) -> DataFrame:
     """K2 at fact scale: SALES<n> over every feed column (range-partitioned numbering)."""
-    f = s.feed("sales_details", 1)
+    f = s.feed("sales_details", 2)
     return assign_dense_keys(f, [F.asc_nulls_last(c) for c in f.columns], "sales_sk", "SALES")
 
 
@@ -209,7 +209,7 @@ def _sk_unprefixed(s: Scenario) -> DataFrame:
 @query("scd2_initial_customer")
 def _scd2_initial(s: Scenario) -> DataFrame:
     """V1: initial load, every member new."""
-    return s.customer_snapshot_1
+    return s.customer_snapshot_full
 
 
 @query("scd2_change_flags")
@@ -279,16 +279,16 @@ def _scd2_reapply(s: Scenario) -> DataFrame:
 # ---- facts -------------------------------------------------------------------------------------
 
 
-def _sales_1_prefixed(s: Scenario) -> DataFrame:
-    f = s.feed("sales_details", 1)
+def _sales_prefixed(s: Scenario) -> DataFrame:
+    f = s.feed("sales_details", 2)
     return f.withColumn("sls_cust_id", facts.customer_key_prefixed(f))
 
 
 @query("lookup_customer_sk")
 def _lk_customer(s: Scenario) -> DataFrame:
     """Padded customer id -> current customer_sk."""
-    cur = scd2.current_members(s.customer_snapshot_1)
-    return facts.lookup_customer_sk(_sales_1_prefixed(s), cur).select(
+    cur = scd2.current_members(s.customer_snapshot_full)
+    return facts.lookup_customer_sk(_sales_prefixed(s), cur).select(
         "sls_ord_num", "sls_cust_id", "sls_ship_dt", "sls_sales", "customer_sk"
     )
 
@@ -296,8 +296,8 @@ def _lk_customer(s: Scenario) -> DataFrame:
 @query("lookup_product_sk")
 def _lk_product(s: Scenario) -> DataFrame:
     """Short product key -> current product_sk (fans out over versions)."""
-    cur = scd2.current_members(s.product_snapshot_1)
-    return facts.lookup_product_sk(s.feed("sales_details", 1), cur).select(
+    cur = scd2.current_members(s.product_snapshot_full)
+    return facts.lookup_product_sk(s.feed("sales_details", 2), cur).select(
         "sls_ord_num", "sls_prd_key", "sls_ship_dt", "sls_sales", "product_sk"
     )
 
@@ -305,8 +305,8 @@ def _lk_product(s: Scenario) -> DataFrame:
 @query("lookup_product_sk_one_version")
 def _lk_product_one(s: Scenario) -> DataFrame:
     """J7 with ``one_version='latest_start'``: no fan-out."""
-    cur = scd2.current_members(s.product_snapshot_1)
-    return facts.lookup_product_sk(s.feed("sales_details", 1), cur, one_version="latest_start").select(
+    cur = scd2.current_members(s.product_snapshot_full)
+    return facts.lookup_product_sk(s.feed("sales_details", 2), cur, one_version="latest_start").select(
         "sls_ord_num", "sls_prd_key", "sls_ship_dt", "sls_sales", "product_sk"
     )
 
@@ -314,7 +314,7 @@ def _lk_product_one(s: Scenario) -> DataFrame:
 @query("lookup_date_sks")
 def _lk_dates(s: Scenario) -> DataFrame:
     """Three role-playing lookups, plain equality."""
-    return facts.lookup_date_sks(s.feed("sales_details", 1), s.dim_date_1).select(
+    return facts.lookup_date_sks(s.feed("sales_details", 2), s.dim_date_full).select(
         "sls_ord_num", "sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales", *[r[1] for r in facts.DATE_ROLES]
     )
 
@@ -322,16 +322,16 @@ def _lk_dates(s: Scenario) -> DataFrame:
 @query("lookup_date_sks_nullsafe")
 def _lk_dates_ns(s: Scenario) -> DataFrame:
     """J8-J10 in reference mode: NULL-date rows kept, NULL matches NULL (fan-out)."""
-    dd = conform.dim_date_build(s.feed("sales_details", 1), keep_unparsed=True)
-    return facts.lookup_date_sks(s.feed("sales_details", 1), dd, null_safe=True).select(
+    dd = conform.dim_date_build(s.feed("sales_details", 2), keep_unparsed=True)
+    return facts.lookup_date_sks(s.feed("sales_details", 2), dd, null_safe=True).select(
         "sls_ord_num", "sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales", *[r[1] for r in facts.DATE_ROLES]
     )
 
 
 @query("fact_sales_full")
 def _fact_full(s: Scenario) -> DataFrame:
-    """C4 (flagship): batch-1 fact with all lookups and SALES<n> keys."""
-    return s.fact_batch_1()
+    """C4 (flagship): fact over all sales with all lookups and SALES<n> keys."""
+    return s.fact_full()
 
 
 # ---- incremental loading -------------------------------------------------------------------------
@@ -418,6 +418,16 @@ def _scan_csv(s: Scenario) -> DataFrame:
     return feeds_io.read_csv_feed(s.spark, path, schemas.CRM_PRODUCT)
 
 
+@query("scan_missing_feed")
+def _scan_missing(s: Scenario) -> DataFrame:
+    """The tolerant scan of the product feed beside one of a missing path."""
+    path = scratch_path(s.spark, "product_info_csv")
+    feeds_io.write_csv_feed(s.feed("product_info", 2), path)
+    there = feeds_io.read_csv_feed(s.spark, path, schemas.CRM_PRODUCT, tolerant=True)
+    absent = feeds_io.read_csv_feed(s.spark, f"{path}-absent", schemas.CRM_PRODUCT, tolerant=True)
+    return there.unionByName(absent)
+
+
 @query("dim_snapshot")
 def _dim_snapshot(s: Scenario) -> DataFrame:
     """A stored dimension version read back (version 1 = the initial load)."""
@@ -449,6 +459,39 @@ def _fact_loaded(s: Scenario) -> DataFrame:
     return read_warehouse(s.spark, loaded_warehouse(s.spark, s.sf_dir))["fact_sales"]
 
 
+@query("batch_retry_after_crash")
+def _retry(s: Scenario) -> DataFrame:
+    """Batch 2 stops before its commit, once for its own day and once more, and is then
+    retried: row and key counts of the growing tables, as if it had never stopped."""
+    wh = scratch_path(s.spark, "warehouse-crash")
+    run_batch(s.spark, {n: s.feed(n, 1) for n in FEED_NAMES}, wh, BATCH1_DATE)
+    feeds = {n: s.feed(n, 2) for n in FEED_NAMES}
+    for stop in (True, True, False):
+        try:
+            run_batch(s.spark, feeds, wh, BATCH2_DATE, BatchOptions(stop_before_commit=stop))
+        except StoppedBeforeCommit:
+            pass
+    loaded = read_warehouse(s.spark, wh)
+    out = []
+    for table, key, prefix in (("fact_sales", "sales_sk", "SALES"), ("dim_date", "date_sk", "DATE")):
+        counts = loaded[table].agg(
+            F.count("*").alias("n_rows"),
+            F.count_distinct(key).alias("n_keys"),
+            F.max(key_number(key, prefix)).alias("last_key"),
+        )
+        out.append(counts.select(F.lit(table).alias("table_name"), "*"))
+    return out[0].unionByName(out[1])
+
+
+@query("fact_sales_loaded_by_order_date")
+def _fact_loaded_order_date(s: Scenario) -> DataFrame:
+    """I3 in the batch job: fact increments by order date, so no sale is loaded twice."""
+    wh = scratch_path(s.spark, "warehouse-order-date")
+    for batch, p in ((1, BATCH1_DATE), (2, BATCH2_DATE)):
+        run_batch(s.spark, {n: s.feed(n, batch) for n in FEED_NAMES}, wh, p, BatchOptions(fact_watermark="order_date"))
+    return read_warehouse(s.spark, wh)["fact_sales"]
+
+
 # ---- streaming ----------------------------------------------------------------------------------------
 
 

@@ -81,6 +81,33 @@ class Scenario:
     def product_delta_2(self) -> scd2.Delta:
         return scd2.apply_batch(self.product_snapshot_1, self.products(2), scd2.PRODUCT, BATCH2_DATE)
 
+    # ---- a first load of the full feeds ----------------------------------------
+    @cached_property
+    def customer_snapshot_full(self) -> DataFrame:
+        """dim_customer after a first load of all members."""
+        return scd2.initial_load(self.customers(2), scd2.CUSTOMER, BATCH2_DATE)
+
+    @cached_property
+    def product_snapshot_full(self) -> DataFrame:
+        return scd2.initial_load(self.products(2), scd2.PRODUCT, BATCH2_DATE)
+
+    @cached_property
+    def dim_date_full(self) -> DataFrame:
+        return conform.dim_date_build(self.feed("sales_details", 2))
+
+    def fact_full(self, **options) -> DataFrame:
+        """fact_sales of all sales, looked up in dimensions loaded from the full feeds."""
+        self.feed("sales_details", 2)
+        self.prepare("customer_snapshot_full", "product_snapshot_full", "dim_date_full")
+        return facts.build_fact_sales(
+            self.feed("sales_details", 2),
+            self.customer_snapshot_full,
+            self.product_snapshot_full,
+            self.dim_date_full,
+            BATCH2_DATE,
+            **options,
+        )
+
     # ---- dates and facts -------------------------------------------------------
     @cached_property
     def dim_date_1(self) -> DataFrame:

@@ -6,13 +6,18 @@ warehouse steps below. Nothing here calls the Spark operators.
 
 from __future__ import annotations
 
-from starloom.functions.text import PY_WHITESPACE
 from starloom.plans import oracle_feeds
 from starloom.sources.derived import BATCH1_DATE, BATCH2_DATE
 
 D1 = f"DATE '{BATCH1_DATE.isoformat()}'"
 D2 = f"DATE '{BATCH2_DATE.isoformat()}'"
-_WS = " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE)
+# The code points that Python's str.strip() removes.
+_SPACE_CODES = [
+    9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760,
+    8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200, 8201, 8202,
+    8232, 8233, 8239, 8287, 12288,
+]
+_WS = " || ".join(f"chr({c})" for c in _SPACE_CODES)
 
 
 def ws(x: str) -> str:
@@ -327,9 +332,25 @@ def warehouse_ctes() -> list[tuple[str, str]]:
     # ---- dates and facts of batch 1 ----
     out.append(("date_rows1", _date_rows("crm_sales_b1", False)))
     out.append(("dim_date1", _numbered("date_rows1", "full_date ASC NULLS LAST", "DATE", col="date_sk")))
-    out.append(("sales1_padded", f"SELECT * REPLACE ({padded_cust('crm_sales_b1')} AS sls_cust_id) FROM crm_sales_b1"))
     out.append(("fact_rows1", _fact("crm_sales_b1", "cust_snap1", "prod_snap1", "dim_date1", D1)))
     out.append(("fact1", _numbered("fact_rows1", FACT_ORDER, "SALES", col="sales_sk")))
+    # ---- a first load of the full feeds ----
+    first = [("cust_full", CUST_COLS, "end_date", "CUST", CUST_ORDER, "customer_sk", "cust_b2")]
+    first.append(("prod_full", PROD_COLS, "end_date_history", "PROD", PROD_ORDER, "product_sk", "prod_b2"))
+    for name, cols, end, prefix, order, key, feed in first:
+        out.append(
+            (
+                name,
+                f"""
+    SELECT {_cols(cols)}, {D2} AS effective_date, CAST(NULL AS DATE) AS {end}, 'Y' AS current_flag,
+           '{prefix}' || CAST(row_number() OVER (ORDER BY {order}) AS VARCHAR) AS {key}
+    FROM {feed}""",
+            )
+        )
+    out.append(("dim_date_full", _numbered(f"({_date_rows('crm_sales_b2', False)}) r", "full_date ASC NULLS LAST", "DATE", col="date_sk")))
+    out.append(("sales_padded", f"SELECT * REPLACE ({padded_cust('crm_sales_b2')} AS sls_cust_id) FROM crm_sales_b2"))
+    out.append(("fact_rows_full", _fact("crm_sales_b2", "cust_full", "prod_full", "dim_date_full", D2)))
+    out.append(("fact_full", _numbered("fact_rows_full", FACT_ORDER, "SALES", col="sales_sk")))
     # ---- dates and facts of batch 2 ----
     out.append(("date_rows2", _date_rows("crm_sales_b2", False)))
     out.append(
@@ -400,11 +421,11 @@ FINAL: dict[str, str] = {
     "dim_date_with_unparsed": "SELECT * FROM ("
     + _numbered(f"({_date_rows('crm_sales_b2', True)}) r", "full_date ASC NULLS LAST", "DATE", col="date_sk")
     + ") z",
-    "sk_assign_customer": "SELECT customer_key, customer_id, customer_sk FROM cust_snap1",
-    "sk_assign_date": "SELECT full_date, date_sk FROM dim_date1",
+    "sk_assign_customer": "SELECT customer_key, customer_id, customer_sk FROM cust_full",
+    "sk_assign_date": "SELECT full_date, date_sk FROM dim_date_full",
     "sk_assign_fact": "SELECT * FROM ("
     + _numbered(
-        "crm_sales_b1",
+        "crm_sales_b2",
         ", ".join(
             f"{c} ASC NULLS LAST"
             for c in [
@@ -436,7 +457,7 @@ FINAL: dict[str, str] = {
     "sk_unprefixed": f"""
     SELECT *, row_number() OVER (ORDER BY full_date ASC NULLS LAST) AS date_sk
     FROM ({_date_rows('crm_sales_b2', False)}) r""",
-    "scd2_initial_customer": "SELECT * FROM cust_snap1",
+    "scd2_initial_customer": "SELECT * FROM cust_full",
     "scd2_change_flags": f"SELECT customer_key, customer_id, {CUST_FLAGS} FROM cust_pairs2",
     "scd2_classify_customer": """
     SELECT customer_key, customer_id, customer_sk_old, current_flag_old, change_kind FROM cust_pairs2""",
@@ -458,38 +479,38 @@ FINAL: dict[str, str] = {
     FROM cust_b2 f LEFT JOIN cust_merged2 s ON f.customer_key IS NOT DISTINCT FROM s.customer_key""",
     "lookup_customer_sk": f"""
     SELECT s.sls_ord_num, s.sls_cust_id, s.sls_ship_dt, s.sls_sales, c.customer_sk
-    FROM sales1_padded s
-    LEFT JOIN (SELECT {ws('customer_key')} AS k, customer_sk FROM cust_snap1 WHERE current_flag = 'Y') c
+    FROM sales_padded s
+    LEFT JOIN (SELECT {ws('customer_key')} AS k, customer_sk FROM cust_full WHERE current_flag = 'Y') c
       ON s.sls_cust_id = c.k""",
     "lookup_product_sk": f"""
     SELECT s.sls_ord_num, {ws('s.sls_prd_key')} AS sls_prd_key, s.sls_ship_dt, s.sls_sales, p.product_sk
-    FROM crm_sales_b1 s
-    LEFT JOIN (SELECT {short_key('product_key')} AS k, product_sk FROM prod_snap1 WHERE current_flag = 'Y') p
+    FROM crm_sales_b2 s
+    LEFT JOIN (SELECT {short_key('product_key')} AS k, product_sk FROM prod_full WHERE current_flag = 'Y') p
       ON {ws('s.sls_prd_key')} = p.k""",
     "lookup_product_sk_one_version": f"""
     SELECT s.sls_ord_num, {ws('s.sls_prd_key')} AS sls_prd_key, s.sls_ship_dt, s.sls_sales, p.product_sk
-    FROM crm_sales_b1 s
+    FROM crm_sales_b2 s
     LEFT JOIN (SELECT k, product_sk FROM (
                  SELECT {short_key('product_key')} AS k, product_sk,
                         row_number() OVER (PARTITION BY {short_key('product_key')}
                                            ORDER BY start_date DESC NULLS LAST, product_id DESC) AS rn
-                 FROM prod_snap1 WHERE current_flag = 'Y') x WHERE rn = 1) p
+                 FROM prod_full WHERE current_flag = 'Y') x WHERE rn = 1) p
       ON {ws('s.sls_prd_key')} = p.k""",
     "lookup_date_sks": f"""
     SELECT s.sls_ord_num, s.sls_order_dt, s.sls_ship_dt, s.sls_due_dt, s.sls_sales,
            d1.date_sk AS order_date_sk, d2.date_sk AS ship_date_sk, d3.date_sk AS due_date_sk
-    FROM crm_sales_b1 s
-    LEFT JOIN dim_date1 d1 ON {ymd('s.sls_order_dt')} = d1.full_date
-    LEFT JOIN dim_date1 d2 ON {ymd('s.sls_ship_dt')} = d2.full_date
-    LEFT JOIN dim_date1 d3 ON {ymd('s.sls_due_dt')} = d3.full_date""",
+    FROM crm_sales_b2 s
+    LEFT JOIN dim_date_full d1 ON {ymd('s.sls_order_dt')} = d1.full_date
+    LEFT JOIN dim_date_full d2 ON {ymd('s.sls_ship_dt')} = d2.full_date
+    LEFT JOIN dim_date_full d3 ON {ymd('s.sls_due_dt')} = d3.full_date""",
     "lookup_date_sks_nullsafe": f"""
     SELECT s.sls_ord_num, s.sls_order_dt, s.sls_ship_dt, s.sls_due_dt, s.sls_sales,
            d1.date_sk AS order_date_sk, d2.date_sk AS ship_date_sk, d3.date_sk AS due_date_sk
-    FROM crm_sales_b1 s
+    FROM crm_sales_b2 s
     LEFT JOIN dd d1 ON {ymd('s.sls_order_dt')} IS NOT DISTINCT FROM d1.full_date
     LEFT JOIN dd d2 ON {ymd('s.sls_ship_dt')} IS NOT DISTINCT FROM d2.full_date
     LEFT JOIN dd d3 ON {ymd('s.sls_due_dt')} IS NOT DISTINCT FROM d3.full_date""",
-    "fact_sales_full": "SELECT * FROM fact1",
+    "fact_sales_full": "SELECT * FROM fact_full",
     "watermark_read": f"""
     SELECT t.table_name, coalesce(w.watermark, DATE '1900-01-01') AS watermark
     FROM (VALUES ('dim_customer'), ('dim_product'), ('dim_date'), ('fact_sales'), ('dim_store')) t(table_name)
@@ -503,8 +524,7 @@ FINAL: dict[str, str] = {
     FROM (VALUES ('dim_customer'), ('dim_product'), ('dim_date'), ('fact_sales'), ('dim_store')) t(table_name)
     LEFT JOIN (SELECT 'dim_customer' AS table_name, max(effective_date) AS watermark FROM cust_merged2
                UNION ALL SELECT 'dim_product', max(effective_date) FROM prod_merged2
-               UNION ALL SELECT 'dim_date', coalesce((SELECT max(full_date) FROM new_dates2),
-                                                     (SELECT max(full_date) FROM dim_date1))
+               UNION ALL SELECT 'dim_date', max(full_date) FROM dim_date2
                UNION ALL SELECT 'fact_sales', max(created_date) FROM fact2) w
       ON t.table_name = w.table_name""",
     "scd2_load_filter_customer": f"""
@@ -542,12 +562,40 @@ FINAL: dict[str, str] = {
     UNION ALL SELECT 'dim_date', 'transform', count(*) FROM date_rows2
     UNION ALL SELECT 'fact_sales', 'transform', count(*) FROM fact_rows2""",
     "scan_csv_feed": "SELECT * FROM crm_product_b2",
+    "scan_missing_feed": "SELECT * FROM crm_product_b2",
     "dim_snapshot": "SELECT * FROM cust_snap1",
     "dim_customer_full": "SELECT * FROM cust_merged2",
     "dim_product_full": "SELECT * FROM prod_merged2",
     "dim_date_loaded": "SELECT * FROM dim_date2",
     "fact_sales_loaded": "SELECT * FROM fact1 UNION ALL SELECT * FROM fact2",
     "stream_fact_load": "SELECT * FROM fact1 UNION ALL SELECT * FROM fact2",
+    "batch_retry_after_crash": """
+    SELECT 'fact_sales' AS table_name, count(*) AS n_rows, count(DISTINCT sales_sk) AS n_keys,
+           max(CAST(replace(sales_sk, 'SALES', '') AS BIGINT)) AS last_key
+    FROM (SELECT sales_sk FROM fact1 UNION ALL SELECT sales_sk FROM fact2) f
+    UNION ALL
+    SELECT 'dim_date', count(*), count(DISTINCT date_sk), max(CAST(replace(date_sk, 'DATE', '') AS BIGINT))
+    FROM dim_date2""",
+    "fact_sales_loaded_by_order_date": f"""
+    SELECT * FROM fact1 UNION ALL
+    SELECT * FROM ("""
+    + _numbered(
+        "("
+        + _fact(
+            f"(SELECT * FROM crm_sales_b2 WHERE {ymd('sls_order_dt')} > "
+            f"(SELECT max({ymd('sls_order_dt')}) FROM crm_sales_b1))",
+            "cust_merged2",
+            "prod_merged2",
+            "dim_date2",
+            D2,
+        )
+        + ") r",
+        FACT_ORDER,
+        "SALES",
+        start=_max_key("fact1", "sales_sk", "SALES"),
+        col="sales_sk",
+    )
+    + ") z",
     "batch_audit_loaded": f"""
     SELECT 'dim_customer' AS table_name, 'load' AS stage, count(*) AS n_rows, CAST(1 AS BIGINT) AS version,
            {D1} AS processing_date FROM cust_snap1
@@ -590,7 +638,7 @@ LOCAL: dict[str, str] = {
     + _numbered(f"({_date_rows('crm_sales_b2', True)}) r", "full_date ASC NULLS LAST", "DATE", col="date_sk")
     + ")",
     "lookup_date_sks_nullsafe": "dd AS ("
-    + _numbered(f"({_date_rows('crm_sales_b1', True)}) r", "full_date ASC NULLS LAST", "DATE", col="date_sk")
+    + _numbered(f"({_date_rows('crm_sales_b2', True)}) r", "full_date ASC NULLS LAST", "DATE", col="date_sk")
     + ")",
 }
 
