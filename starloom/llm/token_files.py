@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import train_in_task, worker_state
-from starloom.llm.pieces import PieceIds, library_encoder, slices
+from starloom.llm.pieces import PieceIds, WordIds, drops_spaces, library_encoder, slices
 from starloom.session import scratch_path
 
 #: Bounds of the dictionary and of the sample that trains it.
@@ -76,7 +76,7 @@ class Tokenizer:
     """Ids of whole texts with the end id, from a tokenizer definition."""
 
     def __init__(self, definition: bytes, end_id: int):
-        self.pieces = PieceIds(library_encoder(definition))
+        self.pieces = WordIds(definition) if drops_spaces(definition) else PieceIds(library_encoder(definition))
         self.end = np.array([end_id], "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
