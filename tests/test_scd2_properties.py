@@ -48,11 +48,14 @@ def test_invariants_over_batches(spark, batches):
         nums = sorted(int(r.customer_sk[4:]) for r in merged)
         assert nums == list(range(1, len(nums) + 1))
         # intervals of a key abut: every closed version ends the day its successor starts
+        versions = {}
         for r in merged:
-            if r.current_flag == "N":
-                assert r.end_date == day or r.end_date <= day
-            else:
-                assert r.end_date is None
+            versions.setdefault(r.customer_key, []).append((r.effective_date, r.current_flag == "Y", r.end_date))
+        for chain in versions.values():
+            chain.sort(key=lambda v: (v[0], v[1]))
+            for (_, current, end), (start, _, _) in zip(chain, chain[1:]):
+                assert not current and end == start
+            assert (chain[-1][2] is None) == chain[-1][1]
         # applying the same batch again changes nothing
         again = scd2.apply_batch(d.merged, frame(spark, rows), scd2.CUSTOMER, day)
         assert again.opened.count() == 0 and again.closed.count() == 0
