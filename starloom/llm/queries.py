@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm import oracle
 from starloom.llm.byte_bpe import op3_byte_bpe
 from starloom.llm.common import table
 from starloom.llm.jaccard_join import op7_jaccard_join
@@ -78,4 +79,4 @@ QUERIES: dict[str, Query] = {
     "op10_token_files": _op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(oracle.ORACLE_SQL)
