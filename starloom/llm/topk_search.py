@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from starloom.session import scratch_path
 
 SCALE = 64
-PIVOTS = 32
+PIVOTS = 24
 #: Rows of the sample that pivots are chosen from.
 PIVOT_SAMPLE = 1_000
 BLOCK = 8_192
@@ -67,6 +67,12 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def exact_kind(largest: float) -> str:
+    """The float type in which all inner products are exact: they stay within ``largest``, the
+    largest norm squared, so do their partial sums up to sign and order."""
+    return "<f4" if largest < 1 << 22 else "<f8"
+
+
 def search_block(query_id, query, to_pivots, floor, ids, vectors, table, largest, k):
     """The query's best ``k`` of a block as (score, id), ties to smaller ids.
 
@@ -74,13 +80,17 @@ def search_block(query_id, query, to_pivots, floor, ids, vectors, table, largest
     wanted (k better ones are known elsewhere).
     """
     gap = np.abs(table[0] - to_pivots[0])
+    each = np.empty_like(gap)
     for p in range(1, len(to_pivots)):
-        np.maximum(gap, np.abs(table[p] - to_pivots[p]), out=gap)
-    norm = float(query @ query)
-    bound = (norm + largest - np.maximum(gap - 1e-3, 0.0) ** 2) / 2 + 1e-6 * (norm + largest) + 1e-3
+        np.subtract(table[p], to_pivots[p], out=each)
+        np.maximum(gap, np.abs(each, out=each), out=gap)
+    norm = float(np.dot(query.astype(np.float64), query))
+    # distances are kept in single precision: loosen them by far more than its rounding
+    loose = 1e-3 + 1e-6 * np.sqrt(norm + largest)
+    bound = (norm + largest - np.maximum(gap - loose, 0.0).astype(np.float64) ** 2) / 2 + 1e-6 * (norm + largest) + 1e-3
     alive = np.flatnonzero((bound >= floor) & (ids != query_id))
     order = alive[np.argsort(-bound[alive], kind="stable")]
-    scores, places, at, step = np.empty(0), np.empty(0, np.int64), 0, FIRST
+    scores, places, at, step = np.empty(0, vectors.dtype), np.empty(0, np.int64), 0, FIRST
     while at < len(order) and bound[order[at]] >= floor:
         part = order[at : at + step]
         scores = np.concatenate([scores, vectors[part] @ query])
@@ -114,14 +124,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).toArrow()
     sampled = np.array(sample.column("v").to_pylist(), np.float64).reshape(sample.num_rows, -1)
     pivots = choose_pivots(lift(sampled, largest), PIVOTS)
+    kind = exact_kind(largest)
 
     def tabulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(i, BLOCK)
                 v = part.column(1).flatten().to_numpy().astype(np.float64).reshape(part.num_rows, -1)
-                table = np.ascontiguousarray(distances(lift(v, largest), pivots).T)
-                values = [part.column(0).to_numpy().astype("<i8").tobytes(), v.astype("<f8").tobytes(), table.tobytes()]
+                table = np.ascontiguousarray(distances(lift(v, largest), pivots).T, np.float32)
+                values = [part.column(0).to_numpy().astype("<i8").tobytes(), v.astype(kind).tobytes(), table.tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in values], ["ids", "vectors", "table"])
 
     path = scratch_path(spark, "pivot-table")
@@ -154,7 +165,10 @@ def _search_chunk(stored: DataFrame, part: pa.Table, pivots, sampled, sampled_id
         if scores.shape[1] >= k:
             floors[i : i + 512] = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
     lifted = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1)
-    shared = stored.sparkSession.sparkContext.broadcast((query_ids, queries, distances(lifted, pivots), floors))
+    kind = exact_kind(max(largest, float((queries**2).sum(axis=1).max(initial=0.0))))
+    shared = stored.sparkSession.sparkContext.broadcast((query_ids, queries.astype(kind), distances(lifted, pivots).astype(np.float32), floors))
+
+    stored_kind = exact_kind(largest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked_ids, asked, to_pivots, least = shared.value
@@ -162,8 +176,8 @@ def _search_chunk(stored: DataFrame, part: pa.Table, pivots, sampled, sampled_id
         for batch in batches:
             for ids, vectors, table in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = np.frombuffer(ids, "<i8")
-                vectors = np.frombuffer(vectors, "<f8").reshape(len(ids), -1)
-                table = np.frombuffer(table, "<f8").reshape(-1, len(ids))
+                vectors = np.frombuffer(vectors, stored_kind).reshape(len(ids), -1).astype(kind, copy=False)
+                table = np.frombuffer(table, "<f4").reshape(-1, len(ids))
                 out: list[tuple] = []
                 for q in range(len(asked_ids)):
                     scores, found = search_block(asked_ids[q], asked[q], to_pivots[q], least[q], ids, vectors, table, largest, k)
