@@ -49,11 +49,12 @@ class PieceIds:
     """Ids of whole texts (little-endian unsigned 32-bit) through a bounded piece memo.
 
     ``encode`` maps a list of strings to a list of id bytes; it sees each distinct piece once
-    per filling of the memo. The memo starts again from empty beyond ``MEMO_ENTRIES``.
+    per filling of the memo. The memo starts again from empty beyond ``entries``.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = MEMO_ENTRIES):
         self.encode = encode
+        self.entries = entries
         self.after: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
 
@@ -87,9 +88,9 @@ class PieceIds:
 
     def pieces(self, texts: list[str]) -> list[list[str]]:
         """The pieces of each text, with the ids of all of them in the memo."""
-        if len(self.after) > MEMO_ENTRIES:
+        if len(self.after) > self.entries:
             self.after.clear()
-        if len(self.first) > MEMO_ENTRIES:
+        if len(self.first) > self.entries:
             self.first.clear()
         cuts = [cut(t) for t in texts]
         missing: set[str] = set()

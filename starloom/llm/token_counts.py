@@ -22,18 +22,19 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starloom.llm.common import worker_state
 from starloom.llm.pieces import PieceIds, cut, library_encoder, plain, slices
 
 #: Pieces per leaf when a text is cut into leaves.
 LEAF = 32
+#: Pieces a worker remembers, characters it handles at once and rows it hands back at once:
+#: texts, leaves and trees are in memory side by side here.
+MEMO = 300_000
+SLICE = 1_000_000
+ROWS = 500
 TREE = "struct<leaves:int,chars:array<int>,tokens:array<int>>"
 EDIT = "struct<start:int,stop:int,insert:string>"
-EDITS_TYPE = T.ArrayType(
-    T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("insert", T.StringType())])
-)
 UPDATED = f"struct<text:string,tree:{TREE},n_tokens:bigint,reencoded:bigint>"
 ARROW_TREE = pa.struct([("leaves", pa.int32()), ("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))])
 ARROW_UPDATED = pa.struct([("text", pa.string()), ("tree", ARROW_TREE), ("n_tokens", pa.int64()), ("reencoded", pa.int64())])
@@ -174,7 +175,7 @@ def edited(text: str, tree: Tree, edits: list[tuple[int, int, str]], count) -> t
 
 
 def _counter(shared, key, pattern):
-    ids = worker_state(key, lambda: PieceIds(library_encoder(shared.value, pattern)))
+    ids = worker_state(key, lambda: PieceIds(library_encoder(shared.value, pattern), MEMO))
     return lambda strings: [len(x) // 4 for x in ids.ids(strings)]
 
 
@@ -192,15 +193,17 @@ def tree_of(spark: SparkSession, tokenizer_file: str, pattern: str | None = None
     def build(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         count = _counter(shared, key, pattern)
         for array in texts:
-            values = [t or "" for t in array.to_pylist()]
-            out = []
-            for i, j in slices(values):
-                parts = [leaf_texts(t) for t in values[i:j]]
-                counts = iter(count([p for ps in parts for p in ps]))
-                for ps in parts:
-                    tree = Tree.build([len(p) for p in ps], [next(counts) for _ in ps])
-                    out.append({"leaves": tree.leaves, "chars": tree.chars, "tokens": tree.tokens})
-            yield pa.array(out, ARROW_TREE)
+            done = [pa.array([], ARROW_TREE)]
+            for k in range(0, len(array), ROWS):
+                values, out = [t or "" for t in array[k : k + ROWS].to_pylist()], []
+                for i, j in slices(values, SLICE):
+                    parts = [leaf_texts(t) for t in values[i:j]]
+                    counts = iter(count([p for ps in parts for p in ps]))
+                    for ps in parts:
+                        tree = Tree.build([len(p) for p in ps], [next(counts) for _ in ps])
+                        out.append({"leaves": tree.leaves, "chars": tree.chars, "tokens": tree.tokens})
+                done.append(pa.array(out, ARROW_TREE))
+            yield pa.concat_arrays(done)
 
     return build
 
@@ -238,16 +241,19 @@ def apply_edits(state: DataFrame, tokenizer_file: str, pattern: str | None = Non
     @F.arrow_udf(UPDATED)
     def update(texts: pa.Array, trees: pa.Array, edits: pa.Array) -> pa.Array:
         count = _counter(shared, key, pattern)
-        out = []
-        for text, tree, todo in zip(texts, trees, edits, strict=True):
-            found = tree.as_py()
-            held, asked = Tree(found["leaves"], found["chars"], found["tokens"]), todo.as_py()
-            new, again = text.as_py(), 0
-            if asked:
-                new, held, again = edited(new, held, [(e["start"], e["stop"], e["insert"]) for e in asked], count)
-                found = {"leaves": held.leaves, "chars": held.chars, "tokens": held.tokens}
-            out.append({"text": new, "tree": found, "n_tokens": held.total, "reencoded": again})
-        return pa.array(out, ARROW_UPDATED)
+        done = [pa.array([], ARROW_UPDATED)]
+        for k in range(0, len(texts), ROWS):
+            out = []
+            for text, tree, todo in zip(texts[k : k + ROWS], trees[k : k + ROWS], edits[k : k + ROWS], strict=True):
+                found = tree.as_py()
+                held, asked = Tree(found["leaves"], found["chars"], found["tokens"]), todo.as_py()
+                new, again = text.as_py(), 0
+                if asked:
+                    new, held, again = edited(new, held, [(e["start"], e["stop"], e["insert"]) for e in asked], count)
+                    found = {"leaves": held.leaves, "chars": held.chars, "tokens": held.tokens}
+                out.append({"text": new, "tree": found, "n_tokens": held.total, "reencoded": again})
+            done.append(pa.array(out, ARROW_UPDATED))
+        return pa.concat_arrays(done)
 
     rows = state.select("doc_id", F.col("n_tokens").alias("tokens_before"), F.size("edits").alias("n_edits"), update("text", "tree", "edits").alias("u"))
     return rows.select("doc_id", "u.text", "u.tree", "u.n_tokens", "tokens_before", "n_edits", "u.reencoded")
@@ -277,15 +283,41 @@ def cleaning_edits(text: str) -> list[tuple[int, int, str]]:
     return chosen
 
 
-@F.arrow_udf(EDITS_TYPE)
-def cleaning(texts: pa.Array) -> pa.Array:
-    """text -> its cleaning edits."""
-    out = [[dict(zip(("start", "stop", "insert"), e, strict=True)) for e in cleaning_edits(t.as_py() or "")] for t in texts]
-    return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("insert", pa.string())])))
+def follow_edits(documents: DataFrame, tokenizer_file: str, pattern: str | None = None, edits_of=cleaning_edits) -> DataFrame:
+    """``with_trees`` and ``apply_edits`` in one pass, for edits that are found in the text
+    itself: ``edits_of(text)`` gives them. Same columns and rules as ``apply_edits``.
+
+    One Python worker per task sees a text once, instead of one for each step.
+    """
+    shared, key = _share(documents.sparkSession, tokenizer_file, pattern)
+    names = ["doc_id", "text", "tree", "n_tokens", "tokens_before", "n_edits", "reencoded"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _counter(shared, key, pattern)
+        for batch in batches:
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
+                values = [t or "" for t in part.column(1).to_pylist()]
+                for i, j in slices(values, SLICE):
+                    parts = [leaf_texts(t) for t in values[i:j]]
+                    counts, out = iter(count([p for ps in parts for p in ps])), []
+                    for text, ps in zip(values[i:j], parts, strict=True):
+                        tree = Tree.build([len(p) for p in ps], [next(counts) for _ in ps])
+                        before, edits, again = tree.total, edits_of(text), 0
+                        if edits:
+                            text, tree, again = edited(text, tree, edits, count)
+                        kept = {"leaves": tree.leaves, "chars": tree.chars, "tokens": tree.tokens}
+                        out.append((text, kept, tree.total, before, len(edits), again))
+                    kinds = [pa.string(), ARROW_TREE, pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+                    columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([part.column(0)[i:j], *columns], names)
+
+    id_type = documents.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, text string, tree {TREE}, n_tokens long, tokens_before long, n_edits int, reencoded long"
+    return documents.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def op1_token_counts(spark: SparkSession, documents: DataFrame, tokenizer_file: str, pattern: str) -> DataFrame:
     """Count every whole text's tokens, apply its cleaning edits, and follow them in the counts."""
-    state = with_trees(documents, tokenizer_file, pattern).withColumn("edits", cleaning("text"))
-    done = apply_edits(state, tokenizer_file, pattern)
+    done = follow_edits(documents, tokenizer_file, pattern)
     return done.select("doc_id", "tokens_before", "n_edits", "n_tokens", "reencoded", F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
