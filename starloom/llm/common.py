@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries a worker's memo may hold before it starts again from empty.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 800_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,15 +84,18 @@ class Memo(dict):
             self.clear()
 
 
-#: Per worker process: models and memos, by the operator's key.
+#: Per worker process: the model or memo of the operator that runs.
 _WORKER: dict = {}
 
 
 def worker_state(key, make: Callable):
-    """What ``make`` returned the first time this worker asked for ``key``."""
+    """What ``make`` returned the first time this worker asked for ``key``.
+
+    A worker holds one state: stages follow each other in reused workers, and what an earlier
+    operator remembered must not stay beside the next one's.
+    """
     if key not in _WORKER:
-        if len(_WORKER) >= 8:
-            _WORKER.clear()
+        _WORKER.clear()
         _WORKER[key] = make()
     return _WORKER[key]
 
