@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries a worker's memo may hold before it starts again from empty.
-MEMO_ENTRIES = 800_000
+MEMO_ENTRIES = 600_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +96,7 @@ def worker_state(key, make: Callable):
     """
     if key not in _WORKER:
         _WORKER.clear()
+        pa.default_memory_pool().release_unused()
         _WORKER[key] = make()
     return _WORKER[key]
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import worker_state
 from starloom.llm.pieces import PieceIds, library_encoder, plain, slices
 
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 2_000_000
 SENTENCE_PENALTY = 1.0
 GRID_PENALTY = 6.0
 #: Distance of the grid cuts inside a sentence; shorter sentences than 1.5 of it have none.

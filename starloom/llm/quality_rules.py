@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.llm.common import worker_state
 from starloom.session import scratch_path
 
 SYMBOLS = "#*$%&|<>"
@@ -77,6 +78,7 @@ def measure(text: str) -> tuple[int, ...]:
 
 @F.arrow_udf(COUNTS_TYPE)
 def measures(texts: pa.Array) -> pa.Array:
+    worker_state("quality_rules", dict)  # frees what an earlier stage's operator remembered
     columns = list(zip(*(measure(t.as_py() or "") for t in texts), strict=True)) or [[] for _ in COUNTS]
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], COUNTS)
 
