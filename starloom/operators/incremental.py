@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions.text import strip_ws
+
 DEFAULT_WATERMARK = dt.date(1900, 1, 1)
 
 CONTROL_SCHEMA = T.StructType(
@@ -82,6 +84,18 @@ def dates_not_loaded(dim_date: DataFrame, loaded: DataFrame) -> DataFrame:
     return dim_date.where(F.col("full_date").isNotNull()).join(known, "full_date", "left_anti")
 
 
+def sales_not_loaded(sales: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Sales of a feed that are not yet loaded, whatever their dates. A sale is its row (all
+    feed columns, blanks around ids and product keys aside); of n equal rows in the feed and m
+    loaded ones, n - m are left. One aggregation; null values equal each other."""
+
+    def plain(df: DataFrame) -> DataFrame:
+        stripped = {c: strip_ws(c) for c in ("sls_prd_key", "sls_cust_id")}
+        return df.select(*sales.columns).withColumns(stripped)
+
+    return plain(sales).exceptAll(plain(loaded))
+
+
 def fact_load_filter(fact: DataFrame, watermark: Column | None, column: str = "created_date") -> DataFrame:
     """No watermark (or a NULL one: nothing loaded yet) -> everything; else strictly
     after it. With ``created_date`` this is all-or-nothing per processing day, as in
