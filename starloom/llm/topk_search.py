@@ -110,7 +110,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     ``vectors`` and ``queries`` have ``vec_id`` and ``embedding``; other columns are not
     carried. Null vectors and ids, and vectors with a null or non-finite component, take no
     part. Vectors of another dimension than the most common take no part either (they have no
-    inner product with it). Ties go to smaller ids; repeated rows count each. A query with
+    inner product with it). Ties go to smaller ids; repeated rows count each, among the
+    candidates and among the queries: every query row gets its own ``k`` best. A query with
     fewer candidates gets all; empty tables give no rows. Scores must stay within 2^53.
     """
     spark = vectors.sparkSession
@@ -141,7 +142,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     asked = integers(queries).where(F.size("v") == dims[0].dim).select("vec_id", "v")
     asked_path = scratch_path(spark, "queries")
-    asked.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-asked.count() // CHUNK))))).write.parquet(asked_path)
+    # every query row has a number of its own, since ids may repeat; written, so the numbers stay
+    asked = asked.withColumn("number", F.monotonically_increasing_id())
+    asked.withColumn("chunk", F.pmod(F.xxhash64("number"), F.lit(max(1, -(-asked.count() // CHUNK))))).write.parquet(asked_path)
     asked = spark.read.parquet(asked_path)
     found = None
     for chunk in range(asked.agg(F.max("chunk")).collect()[0][0] + 1 if asked.count() else 0):
@@ -150,12 +153,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         found = best if found is None else found.unionByName(best)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _search_chunk(stored: DataFrame, part: pa.Table, pivots, sampled, sampled_ids, largest: float, k: int) -> DataFrame:
-    query_ids = part.column("vec_id").to_numpy()
+    query_ids, numbers = part.column("vec_id").to_numpy(), part.column("number").to_numpy()
     queries = np.array(part.column("v").to_pylist(), np.float64).reshape(len(query_ids), -1)
     # a floor for every query: the k-th best score among the sampled rows but its own
     floors = np.full(len(query_ids), -np.inf)
@@ -166,13 +169,13 @@ def _search_chunk(stored: DataFrame, part: pa.Table, pivots, sampled, sampled_id
             floors[i : i + 512] = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
     lifted = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1)
     kind = exact_kind(max(largest, float((queries**2).sum(axis=1).max(initial=0.0))))
-    shared = stored.sparkSession.sparkContext.broadcast((query_ids, queries.astype(kind), distances(lifted, pivots).astype(np.float32), floors))
+    shared = stored.sparkSession.sparkContext.broadcast((numbers, query_ids, queries.astype(kind), distances(lifted, pivots).astype(np.float32), floors))
 
     stored_kind = exact_kind(largest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked_ids, asked, to_pivots, least = shared.value
-        names = ["query_id", "vec_id", "score"]
+        asked_numbers, asked_ids, asked, to_pivots, least = shared.value
+        names = ["number", "query_id", "vec_id", "score"]
         for batch in batches:
             for ids, vectors, table in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = np.frombuffer(ids, "<i8")
@@ -181,12 +184,12 @@ def _search_chunk(stored: DataFrame, part: pa.Table, pivots, sampled, sampled_id
                 out: list[tuple] = []
                 for q in range(len(asked_ids)):
                     scores, found = search_block(asked_ids[q], asked[q], to_pivots[q], least[q], ids, vectors, table, largest, k)
-                    out.append((np.full(len(found), asked_ids[q]), found, scores.astype(np.int64)))
+                    out.append((np.full(len(found), asked_numbers[q]), np.full(len(found), asked_ids[q]), found, scores.astype(np.int64)))
                 if out:
                     columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-    return stored.mapInArrow(run, "query_id long, vec_id long, score long")
+    return stored.mapInArrow(run, "number long, query_id long, vec_id long, score long")
 
 
 def op9_topk_search(spark: SparkSession, embeddings: DataFrame) -> DataFrame:

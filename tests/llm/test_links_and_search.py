@@ -171,6 +171,17 @@ def test_search_matches_brute_force(spark):
     assert len(tk.op9_topk_search(spark, few).collect()) == 4
 
 
+def test_search_with_repeated_query_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(0, 1, 8).astype(np.float32).tolist()) for i in range(200)]
+    rows += 2 * [rows[0]] + 24 * [rows[20]] + [(40, rng.normal(0, 1, 8).astype(np.float32).tolist())]  # equal rows; two vectors
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    for chunk in (tk.CHUNK, 7):
+        monkeypatch.setattr(tk, "CHUNK", chunk)
+        got = sorted(tuple(r) for r in tk.op9_topk_search(spark, frame).collect())
+        assert got == brute_top(rows, 20)
+
+
 def test_search_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(tk, "CHUNK", 7)
     frame = table(spark, "/root/testdata/sf0.001", "embeddings")
