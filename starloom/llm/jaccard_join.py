@@ -12,7 +12,9 @@ shares ``min(l1, l2)`` shingles of the prefixes of that length.
   the frequency that counts as frequent doubles until they do.
 * Adaptive l: a document whose prefix is estimated to meet many candidates gets a longer prefix
   and needs correspondingly more shared shingles.
-* Copies: equal sets are one node (the smallest doc_id), so copies never pair.
+* Copies: equal sets are one node, so copies never pair. A set is named by its smallest doc_id,
+  which no other set has while ids are unique, else by a number; components always get their
+  smallest doc_id.
 * Large groups of near copies: before pairs are listed, star rounds verify every node against
   one pivot per shingle bucket, and buckets that lie in one component are dropped. The pairs
   listed afterwards are those between different components, with none left out. Links inside
@@ -79,6 +81,11 @@ def signature(found: np.ndarray) -> np.ndarray:
     return np.packbits(flags).view("<i8")
 
 
+def digest(found: np.ndarray) -> list[int]:
+    """The 128-bit hash of a set as two integers."""
+    return np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), "<i8").tolist()
+
+
 def hasher() -> Memo:
     memo = worker_state("shingle_words", lambda: Memo(word_hash))
     memo.trim()
@@ -126,8 +133,7 @@ def _sets(documents: DataFrame, frequent: tuple[np.ndarray, np.ndarray] | None)
             rows = []
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 found = shingles(text.as_py() or "", memo)
-                sig = xxhash.xxh3_128_digest(found.tobytes())
-                hi, lo = np.frombuffer(sig, "<i8").tolist()
+                hi, lo = digest(found)
                 if shared.value is None:
                     if not len(found) or hi % SAMPLE:
                         continue
@@ -172,6 +178,13 @@ def _stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def set_key(texts: pa.Array) -> pa.Array:
+    """``[set_hi, set_lo]`` of the texts."""
+    memo = hasher()
+    return pa.array([digest(shingles(text.as_py() or "", memo)) for text in texts], pa.list_(pa.int64()))
+
+
 @F.arrow_udf(T.BooleanType())
 def similar(left: pa.Array, right: pa.Array) -> pa.Array:
     """Whether 100 * intersection >= 80 * union of the shingle sets of two texts."""
@@ -191,15 +204,15 @@ def similar(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
-def verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose texts are similar, written to the shared folder."""
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose texts (``node, text``) are similar, written to the shared folder."""
     pairs = _stored(pairs.select("a", "b").distinct(), "candidate-pairs")
-    ids = _stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "candidate-ids")
+    ids = _stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "candidate-ids")
     if ids.count() <= SHARED_IDS:
         ids = F.broadcast(ids)
-    texts = documents.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    texts = texts.join(ids, "node", "left_semi")
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b")
     return _stored(both.where(similar("text_a", "text_b")).select("a", "b").distinct(), "links")
 
@@ -207,7 +220,7 @@ def verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
 def _postings(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """``tok, node, n, l, rare, bits, pos`` of the shingles that two or more nodes have in their prefix;
     ``pos`` is the place in the node's order, from 0."""
-    rows = sets.join(nodes, (sets.doc_id == nodes.node) & (sets.set_hi == nodes.hi) & (sets.set_lo == nodes.lo))
+    rows = sets.join(nodes, (sets.doc_id == nodes.least_id) & (sets.set_hi == nodes.hi) & (sets.set_lo == nodes.lo))
     rows = rows.select("node", F.col("n_shingles").alias("n"), "l", "rare", "bits", F.posexplode("tokens").alias("pos", "tok"))
     shared = rows.groupBy("tok").agg(F.count("*").alias("df")).where(F.col("df") >= 2).select("tok")
     return _stored(rows.join(shared, "tok"), "postings")
@@ -296,58 +309,90 @@ def _pairs(postings: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("a"), F.col("other").alias("b"))
 
 
-def join(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(sets, components)``: sets with ``doc_id, n_shingles, set_hi, set_lo`` per row, and
-    ``node, component`` over all distinct sets that link with another.
+def join(documents: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    """``(sets, named, repeated)``: sets with ``doc_id, n_shingles, set_hi, set_lo`` per row, of
+    every distinct set ``hi, lo, component`` (the smallest doc_id of its component), and whether
+    a doc_id stands on several rows. Rows without an id take no part.
 
-    A node is the smallest doc_id of an equal set; rows without an id take no part. If rows of
-    one id differ in text, the id stands for one of their sets (the smallest by hash).
+    Every distinct set is a node, also where rows of one id differ in text.
     """
     documents = documents.select("doc_id", "text")
     sets = _stored(_sets(documents, frequent_shingles(documents)), "shingle-sets")
     real = sets.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    nodes = real.groupBy("set_hi", "set_lo").agg(F.min("doc_id").alias("node"))
-    nodes = nodes.groupBy("node").agg(F.min(F.struct("set_hi", "set_lo")).alias("s"))
-    nodes = _stored(nodes.select("node", F.col("s.set_hi").alias("hi"), F.col("s.set_lo").alias("lo")), "nodes")
-    texts = documents.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("text").alias("text"))
-    unique = documents.where(F.col("doc_id").isNotNull())
-    if real.select("doc_id").count() != real.select("doc_id").distinct().count():
-        unique = texts
-    postings = _postings(sets, nodes)
+    repeated = real.select("doc_id").count() != real.select("doc_id").distinct().count()
+    nodes = real.groupBy(F.col("set_hi").alias("hi"), F.col("set_lo").alias("lo")).agg(F.min("doc_id").alias("least_id"))
+    named = documents.where(F.col("doc_id").isNotNull())
+    if repeated:
+        nodes = _stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+        texts = _texts_of_sets(named, nodes)
+        rows = real.dropDuplicates(["doc_id", "set_hi", "set_lo"])
+    else:
+        nodes = _stored(nodes.withColumn("node", F.col("least_id")), "nodes")
+        texts = named.select(F.col("doc_id").alias("node"), "text")
+        rows = sets
+    postings = _postings(rows, nodes)
     links, comps = None, None
     for turn in range(ROUNDS + 1):
         postings = _open(postings, comps)
-        found = verified(_stars(postings, turn) if turn < ROUNDS else _pairs(postings), unique)
+        found = verified(_stars(postings, turn) if turn < ROUNDS else _pairs(postings), texts)
         links = found if links is None else links.unionByName(found)
         comps = components(links)
-    return sets, nodes, comps
+    members = nodes.join(comps, "node", "left")
+    if repeated:
+        members = members.withColumn("component", F.coalesce("component", "node"))
+        least = members.groupBy("component").agg(F.min("least_id").alias("least"))
+        members = members.join(least, "component").withColumn("component", F.col("least"))
+    else:
+        members = members.withColumn("component", F.coalesce("component", "node"))
+    return sets, members.select("hi", "lo", "component"), repeated
+
+
+def _texts_of_sets(documents: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, text``: one text of every distinct set."""
+    rows = documents.select("text", set_key("text").alias("key"))
+    rows = rows.groupBy(F.col("key")[0].alias("hi"), F.col("key")[1].alias("lo")).agg(F.min("text").alias("text"))
+    return _stored(rows.join(nodes, ["hi", "lo"]).select("node", "text"), "set-texts")
 
 
 def with_components(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row.
 
     Null and empty texts, and texts without words, have an empty set and link with nothing;
-    their component is their own id. Repeated rows get the same component. Rows with a null id
-    have a null component. Other columns are not carried; an empty table gives no rows.
+    their component is their own id. Repeated rows get the same component, rows of one id with
+    different texts the component of their own text. Rows with a null id have a null component.
+    Other columns are not carried; an empty table gives no rows.
     """
-    sets, nodes, comps = join(documents)
-    named = nodes.join(comps, "node", "left").select(
-        "hi", "lo", F.coalesce("component", "node").alias("component")
-    )
+    return _rows_with_components(documents)[0].select("doc_id", "n_shingles", "component_id")
+
+
+def _rows_with_components(documents: DataFrame) -> tuple[DataFrame, bool]:
+    """The rows of ``with_components`` with their set, and whether a doc_id repeats."""
+    sets, named, repeated = join(documents)
     rows = sets.select("doc_id", "n_shingles", "set_hi", "set_lo")
     rows = rows.join(named, (rows.set_hi == named.hi) & (rows.set_lo == named.lo), "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("doc_id")))
-    return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, own).otherwise(F.col("doc_id")).alias("component_id"))
+    component = F.when(F.col("n_shingles") > 0, own).otherwise(F.col("doc_id"))
+    return rows.select("doc_id", "n_shingles", "set_hi", "set_lo", component.alias("component_id")), repeated
 
 
 def one_per_group(documents: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns: of each component the one with the
-    smallest id (its component's id). Documents without words or without an id all stay."""
-    comps = with_components(documents).where(F.col("component_id") != F.col("doc_id"))
-    gone = _stored(comps.select(F.col("doc_id").alias("gone_id")).distinct(), "copies")
+    """The documents that stay, with all their columns: of each component the rows with the
+    smallest id (its component's id). Documents without words or without an id all stay. Rows
+    of one id with different texts go or stay each by its own text."""
+    rows, repeated = _rows_with_components(documents)
+    gone = rows.where(F.col("component_id") != F.col("doc_id"))
+    if repeated:
+        gone = gone.select(F.struct("doc_id", F.array("set_hi", "set_lo")).alias("gone_key"))
+        key = F.struct("doc_id", set_key("text"))
+    else:
+        gone, key = gone.select(F.col("doc_id").alias("gone_key")), F.col("doc_id")
+    gone = _stored(gone.distinct(), "copies")
     if gone.count() <= SHARED_IDS:
         gone = F.broadcast(gone)
-    return documents.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    if not repeated:
+        return documents.join(gone, key == F.col("gone_key"), "left_anti")
+    keyed = documents.select(F.struct("*").alias("row"), key.alias("key"))
+    return keyed.join(gone, F.col("key") == F.col("gone_key"), "left_anti").select("row.*")
 
 
 def op7_jaccard_join(spark: SparkSession, documents: DataFrame) -> DataFrame:

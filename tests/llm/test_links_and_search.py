@@ -126,6 +126,30 @@ def test_edge_rows(spark, edge):
     assert jj.op7_jaccard_join(spark, edge.limit(0)).count() == 0
 
 
+def test_one_id_with_different_texts(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(500)]
+    rows = []
+    for i in range(6):  # several, since the hashes decide which of two sets came first
+        a, b, c = (rng.choices(vocabulary, k=60) for _ in range(3))
+        near = lambda words: " ".join([*words[:-1], "end"])
+        base = 100 * i
+        rows += [(base + 5, " ".join(a)), (base + 5, " ".join(b)), (base + 9, " ".join(b)), (base + 10, near(b)), (base + 7, near(a))]
+        rows += [(base + 5, " ".join(c)), (base + 2, near(c)), (base + 2, None), (base + 2, " ".join(rng.choices(vocabulary, k=60)))]
+    # brute force over rows, then the smallest id of each component
+    by_row, _ = brute_components({n: t or "" for n, (_, t) in enumerate(rows)})
+    least = {}
+    for n, c in by_row.items():
+        least[c] = min(least.get(c, 10**9), rows[n][0])
+    expected = sorted((rows[n][0], least[c]) for n, c in by_row.items())
+    frame = spark.createDataFrame([(d, t, n) for n, (d, t) in enumerate(rows)], "doc_id long, text string, n int")
+    got = jj.op7_jaccard_join(spark, frame).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == expected
+    kept = jj.one_per_group(frame)
+    assert kept.columns == frame.columns
+    assert {r.n for r in kept.collect()} == {n for n, c in by_row.items() if least[c] == rows[n][0]}
+
+
 def test_components_against_union_find(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 460)]
