@@ -5,12 +5,18 @@ from __future__ import annotations
 import pickle
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries a worker's memo may hold before it starts again from empty.
 MEMO_ENTRIES = 600_000
+#: Bytes that the memo of one tokenizer's pieces may hold, and what an entry takes beside its
+#: characters and ids (the dictionary's slot and two object headers).
+MEMO_BYTES = 64_000_000
+ENTRY_BYTES = 200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +107,18 @@ def worker_state(key, make: Callable):
     return _WORKER[key]
 
 
+def text_slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int, list[str]]]:
+    """``start, stop, texts`` of consecutive texts of about ``size`` bytes together, null as
+    empty; only one slice is held as Python strings."""
+    if not len(texts):
+        return
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    number = np.cumsum(lengths) // size
+    starts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(texts)]
+    for i, j in zip(starts, starts[1:], strict=False):
+        yield i, j, [t or "" for t in texts[i:j].to_pylist()]
+
+
 def texts_of(array) -> Iterator[str]:
     """The strings of an Arrow array, null as empty."""
     for value in array:

@@ -15,7 +15,7 @@ from itertools import filterfalse, islice
 
 import numpy as np
 
-from starloom.llm.common import MEMO_ENTRIES
+from starloom.llm.common import ENTRY_BYTES, MEMO_BYTES
 
 #: What keeps a text from being cut at every blank and line feed: two of them in a row, or any
 #: other space (Python's notion of a space contains the pattern's, so a doubtful character
@@ -49,19 +49,22 @@ class PieceIds:
     """Ids of whole texts (little-endian unsigned 32-bit) through a bounded piece memo.
 
     ``encode`` maps a list of strings to a list of id bytes; it sees each distinct piece once
-    per filling of the memo. The memo starts again from empty beyond ``entries``.
+    per filling of the memo. The memo starts again from empty beyond ``budget`` bytes.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = MEMO_ENTRIES):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], budget: int = MEMO_BYTES):
         self.encode = encode
-        self.entries = entries
+        self.budget = budget
+        self.held = 0
         self.after: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
 
     def _fill(self, memo: dict, missing: list[str], full: Callable[[str], str]) -> None:
         for i in range(0, len(missing), 20_000):
             part = missing[i : i + 20_000]
-            memo.update(zip(part, self.encode([full(p) for p in part]), strict=True))
+            found = self.encode([full(p) for p in part])
+            memo.update(zip(part, found, strict=True))
+            self.held += sum(map(len, part)) + sum(map(len, found)) + ENTRY_BYTES * len(part)
 
     def _split(self, missing: set[str]) -> tuple[list[str], list[tuple[str, str, str]], set[str], set[str]]:
         """Missing pieces to encode whole; those made of a line feed or a body, and marks."""
@@ -88,10 +91,10 @@ class PieceIds:
 
     def pieces(self, texts: list[str]) -> list[list[str]]:
         """The pieces of each text, with the ids of all of them in the memo."""
-        if len(self.after) > self.entries:
+        if self.held > self.budget:
             self.after.clear()
-        if len(self.first) > self.entries:
             self.first.clear()
+            self.held = 0
         cuts = [cut(t) for t in texts]
         missing: set[str] = set()
         for c in cuts:
@@ -104,6 +107,7 @@ class PieceIds:
         for p, body, tail in made:
             head = first["\n"] + first[body[1:]] if body[0] == "\n" else after[body]
             after[p] = head + first[tail] if tail else head
+            self.held += ENTRY_BYTES + len(p) + len(after[p])
         return cuts
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -206,6 +210,7 @@ class WordIds:
         self.model = Tokenizer.from_buffer(definition).model
         self.letters = {b: c for c, b in byte_of_letter().items()}
         self.memo: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "surrogatepass") for w in words]
@@ -233,12 +238,15 @@ class WordIds:
                 stems.add(w)
         new = list(stems.difference(self.memo))
         self.memo.update(zip(new, self._encode(new), strict=True))
+        self.held += sum(len(w) + len(self.memo[w]) for w in new) + ENTRY_BYTES * len(new)
         for w, body, tail in made:
             self.memo[w] = self.memo[body] + self.memo[tail]
+            self.held += ENTRY_BYTES + len(w) + len(self.memo[w])
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_ENTRIES:
+        if self.held > MEMO_BYTES:
             self.memo.clear()
+            self.held = 0
         words = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
         missing: set[bytes] = set()
         for w in words:

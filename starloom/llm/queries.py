@@ -14,6 +14,7 @@ from starloom.llm.jaccard_join import op7_jaccard_join
 from starloom.llm.packing import op8_packing
 from starloom.llm.quality_classifier import op5_quality_classifier
 from starloom.llm.quality_rules import op4_quality_rules
+from starloom.llm.token_alignment import op13_token_alignment
 from starloom.llm.token_counts import op1_token_counts
 from starloom.llm.token_files import op10_token_files
 from starloom.llm.topk_search import op9_topk_search
@@ -66,6 +67,11 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition, model = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return op13_token_alignment(spark, table(spark, sf_dir, "documents"), definition, model, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": _op1,
     "op2_toxicity": _op2,
@@ -77,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": _op8,
     "op9_topk_search": _op9,
     "op10_token_files": _op10,
+    "op13_token_alignment": _op13,
 }
 
 ORACLE_SQL: dict[str, str] = dict(oracle.ORACLE_SQL)

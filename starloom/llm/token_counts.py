@@ -30,7 +30,7 @@ from starloom.llm.pieces import PieceIds, cut, library_encoder, plain, slices
 LEAF = 32
 #: Pieces a worker remembers, characters it handles at once and rows it hands back at once:
 #: texts, leaves and trees are in memory side by side here.
-MEMO = 300_000
+MEMO = 64_000_000
 SLICE = 1_000_000
 ROWS = 500
 TREE = "struct<leaves:int,chars:array<int>,tokens:array<int>>"
