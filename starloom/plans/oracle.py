@@ -380,6 +380,15 @@ def _max_key(table: str, col: str, prefix: str) -> str:
     return f"(SELECT coalesce(max(CAST(replace({col}, '{prefix}', '') AS BIGINT)), 0) FROM {table})"
 
 
+def _plain_sales(src: str) -> str:
+    """Sales without the blanks around ids and product keys."""
+    return f"SELECT * REPLACE ({ws('sls_prd_key')} AS sls_prd_key, {ws('sls_cust_id')} AS sls_cust_id) FROM {src}"
+
+
+#: The sales of batch 2 that batch 1 did not have, equal rows counted.
+SALES_NOT_LOADED = f"({_plain_sales('crm_sales_b2')} EXCEPT ALL {_plain_sales('crm_sales_b1')})"
+
+
 def prelude() -> str:
     ctes = oracle_feeds.feed_ctes() + warehouse_ctes()
     return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes) + "\n"
@@ -541,8 +550,7 @@ FINAL: dict[str, str] = {
     "incremental_dates_antijoin": "SELECT * FROM new_dates2",
     "incremental_fact_by_created": f"SELECT * FROM fact2 WHERE created_date > {D1}",
     "incremental_fact_by_order_date": _fact(
-        f"(SELECT * FROM crm_sales_b2 WHERE {ymd('sls_order_dt')} > "
-        f"(SELECT max({ymd('sls_order_dt')}) FROM crm_sales_b1))",
+        SALES_NOT_LOADED,
         "cust_merged2",
         "prod_merged2",
         "dim_date2",
@@ -582,8 +590,7 @@ FINAL: dict[str, str] = {
     + _numbered(
         "("
         + _fact(
-            f"(SELECT * FROM crm_sales_b2 WHERE {ymd('sls_order_dt')} > "
-            f"(SELECT max({ymd('sls_order_dt')}) FROM crm_sales_b1))",
+            SALES_NOT_LOADED,
             "cust_merged2",
             "prod_merged2",
             "dim_date2",

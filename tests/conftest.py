@@ -28,5 +28,3 @@ def spark():
     yield s
     s.stop()
 
-
-SMALL = "/root/testdata/sf0.001"

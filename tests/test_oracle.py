@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from starloom.plans import catalog, oracle
-from conftest import ROOT, SMALL
+from tests.paths import ROOT, SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 from oracle_check import compare, duck_connection  # noqa: E402

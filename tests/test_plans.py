@@ -2,7 +2,7 @@
 
 import __spark_entry__ as entry
 from starloom.plans import catalog
-from conftest import SMALL
+from tests.paths import SMALL
 
 
 def plan(df):
