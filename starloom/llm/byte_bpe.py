@@ -24,12 +24,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import worker_state
-from starloom.llm.pieces import PieceIds, slices
+from starloom.llm.common import text_slices, worker_state
+from starloom.llm.pieces import PieceIds
 
 LONG = 512
 #: Cells of one padded matrix.
-CELLS = 2_000_000
+CELLS = 500_000
+#: Bytes of text that a worker handles at once.
+SLICE = 2_000_000
 NONE = np.int32(1 << 30)
 
 
@@ -39,6 +41,19 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
+def token_list(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each token, by rank."""
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def joined(tokens: list[bytes], ids: bytes) -> bytes:
+    """The bytes that ids stand for."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 class PairTable:
     """Hash table (left id, right id) -> rank of the joined bytes, by linear probing."""
 
@@ -94,9 +109,7 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.pairs = PairTable(ranks)
         self.byte_rank = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
+        self.tokens = token_list(ranks)
 
     def matrix(self, tokens: list[bytes], width: int) -> list[bytes]:
         """Ids of tokens of at most ``width`` bytes, one padded row each."""
@@ -195,59 +208,78 @@ class Encoder:
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that the ids stand for."""
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return joined(self.tokens, ids)
 
 
-def _worker(shared, pattern: str, key):
+def _shared(frame: DataFrame, rank_file: str, pattern: str):
+    """A function that gives a worker its encoder and piece memo. The rank file, of a fixed size,
+    is read on the driver and broadcast."""
+    with open(rank_file, "rb") as f:
+        data = f.read()
+    shared = frame.sparkSession.sparkContext.broadcast(data)
+    key = ("byte_bpe", zlib.crc32(data), pattern)
+
     def make():
         encoder = Encoder(read_ranks(shared.value), pattern)
         return encoder, PieceIds(encoder.strings)
 
-    return worker_state(key, make)
+    return lambda: worker_state(key, make)
 
 
 def encode(documents: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """``doc_id, ids`` of every document; ids are little-endian unsigned 32-bit.
 
     Null and empty texts have no ids (an empty binary). Repeated rows are encoded each. Other
-    columns of the input are not carried. The rank file is read on the driver and shared (it
-    has a fixed size); texts are cut whole, never shortened, in one pass without a shuffle.
+    columns of the input are not carried. Texts are cut whole, never shortened, in one pass
+    without a shuffle.
     """
-    with open(rank_file, "rb") as f:
-        data = f.read()
-    shared = documents.sparkSession.sparkContext.broadcast(data)
-    key = ("byte_bpe", zlib.crc32(data), pattern)
+    state = _shared(documents, rank_file, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, piece_ids = _worker(shared, pattern, key)
+        _, piece_ids = state()
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for i, j in slices(texts):
-                ids = pa.array(piece_ids.ids(texts[i:j]), pa.binary())
+            for i, j, texts in text_slices(batch.column(1), SLICE):
+                ids = pa.array(piece_ids.ids(texts), pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], ids], ["doc_id", "ids"])
 
     return documents.select("doc_id", "text").mapInArrow(run, _id_schema(documents, "ids binary"))
 
 
-def decode(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
-    """``encoded`` with a column ``decoded``: the bytes its ``ids`` stand for (null: empty)."""
+def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
+    """``doc_id, ids, decoded`` of ``encoded``: the bytes its ``ids`` stand for (null: empty)."""
     with open(rank_file, "rb") as f:
         data = f.read()
     shared = encoded.sparkSession.sparkContext.broadcast(data)
-    key = ("byte_bpe", zlib.crc32(data), pattern)
+    key = ("byte_bpe_tokens", zlib.crc32(data))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, _ = _worker(shared, pattern, key)
+        tokens = worker_state(key, lambda: token_list(read_ranks(shared.value)))
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                out = pa.array([encoder.decode(v.as_py() or b"") for v in part.column("ids")], pa.binary())
+                out = pa.array([joined(tokens, v.as_py() or b"") for v in part.column("ids")], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), out], ["doc_id", "ids", "decoded"])
 
     schema = _id_schema(encoded, "ids binary, decoded binary")
     return encoded.select("doc_id", "ids").mapInArrow(run, schema)
 
 
+def round_trip(documents: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """``doc_id, ids, decoded``: ``decode`` of ``encode`` in one pass, with one Python worker per
+    task instead of one for each; the bytes come from the ids alone."""
+    state = _shared(documents, rank_file, pattern)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, piece_ids = state()
+        for batch in batches:
+            for i, j, texts in text_slices(batch.column(1), SLICE):
+                ids = piece_ids.ids(texts)
+                columns = [batch.column(0)[i:j], pa.array(ids, pa.binary()), pa.array(map(encoder.decode, ids), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, _id_schema(documents, "ids binary, decoded binary"))
+
+
 def _id_schema(documents: DataFrame, rest: str) -> str:
     return f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, {rest}"
 
@@ -264,4 +296,4 @@ def digest(decoded: DataFrame) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, documents: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """Encode every whole text, decode the ids, digest both."""
-    return digest(decode(encode(documents, rank_file, pattern), rank_file, pattern))
+    return digest(round_trip(documents, rank_file, pattern))

@@ -7,7 +7,7 @@ the other then share at least ``l`` (the l-prefix). So a pair needs verification
 shares ``min(l1, l2)`` shingles of the prefixes of that length.
 
 * Order: rare before frequent. Estimated frequencies come from every eighth distinct document
-  (by a hash of its set); they steer cost alone, since any order gives the same links. The
+  (by a hash of its text); they steer cost alone, since any order gives the same links. The
   frequent shingles fill a table of a checked size (``FREQUENT``): where they would not fit,
   the frequency that counts as frequent doubles until they do.
 * Adaptive l: a document whose prefix is estimated to meet many candidates gets a longer prefix
@@ -40,7 +40,7 @@ from starloom.llm.components import components
 from starloom.session import scratch_path
 
 WORDS = 5
-#: Sampled documents (by set hash): one in SAMPLE; a shingle in FREQUENT_IN of them or more is frequent.
+#: Sampled documents (by a hash of the text): one in SAMPLE; a shingle in FREQUENT_IN of them or more is frequent.
 SAMPLE = 8
 FREQUENT_IN = 3
 #: Most entries of the table of frequent shingles (16 bytes each).
@@ -123,8 +123,7 @@ def prefix(found: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> tuple
 
 
 def _sets(documents: DataFrame, frequent: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
-    """``doc_id`` and SET_SCHEMA; without a table of frequent shingles, whole sets of the
-    sampled documents alone."""
+    """``doc_id`` and SET_SCHEMA; without a table of frequent shingles, whole sets."""
     shared = documents.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +134,7 @@ def _sets(documents: DataFrame, frequent: tuple[np.ndarray, np.ndarray] | None)
                 found = shingles(text.as_py() or "", memo)
                 hi, lo = digest(found)
                 if shared.value is None:
-                    if not len(found) or hi % SAMPLE:
+                    if not len(found):
                         continue
                     l, rare, tokens = 0, 0, found  # noqa: E741
                 else:
@@ -160,7 +159,8 @@ def _sets(documents: DataFrame, frequent: tuple[np.ndarray, np.ndarray] | None)
 
 def frequent_shingles(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles in FREQUENT_IN or more of the sampled distinct sets, ascending, and in how many."""
-    sets = _sets(documents, None).dropDuplicates(["set_hi", "set_lo"])
+    sampled = documents.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
+    sets = _sets(sampled, None).dropDuplicates(["set_hi", "set_lo"])
     counted = sets.select(F.explode("tokens").alias("tok")).groupBy("tok").agg(F.count("*").alias("n"))
     stored = _stored(counted.where(F.col("n") >= FREQUENT_IN), "frequent-shingles")
     least = FREQUENT_IN
@@ -217,13 +217,21 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return _stored(both.where(similar("text_a", "text_b")).select("a", "b").distinct(), "links")
 
 
+def _of_nodes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One row of ``sets`` for every node."""
+    return sets.join(nodes, sets.doc_id.eqNullSafe(nodes.least_id) & (sets.set_hi == nodes.hi) & (sets.set_lo == nodes.lo))
+
+
 def _postings(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``tok, node, n, l, rare, bits, pos`` of the shingles that two or more nodes have in their prefix;
-    ``pos`` is the place in the node's order, from 0."""
-    rows = sets.join(nodes, (sets.doc_id == nodes.least_id) & (sets.set_hi == nodes.hi) & (sets.set_lo == nodes.lo))
-    rows = rows.select("node", F.col("n_shingles").alias("n"), "l", "rare", "bits", F.posexplode("tokens").alias("pos", "tok"))
+    """``tok, node, n, l, rare, pos`` of the shingles that two or more nodes have in their prefix;
+    ``pos`` is the place in the node's order, from 0.
+
+    What is found out about a shingle is written before it is joined to the postings again: Spark
+    splits a hot key's side of a join only where both sides are plain exchanges.
+    """
+    rows = _of_nodes(sets, nodes).select("node", F.col("n_shingles").alias("n"), "l", "rare", F.posexplode("tokens").alias("pos", "tok"))
     shared = rows.groupBy("tok").agg(F.count("*").alias("df")).where(F.col("df") >= 2).select("tok")
-    return _stored(rows.join(shared, "tok"), "postings")
+    return _stored(rows.join(_stored(shared, "shared-shingles"), "tok"), "postings")
 
 
 def _open(postings: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -233,7 +241,7 @@ def _open(postings: DataFrame, comps: DataFrame | None) -> DataFrame:
     rows = postings.drop("comp").join(comps, "node", "left")
     rows = rows.withColumn("comp", F.coalesce(F.col("component"), F.col("node"))).drop("component")
     mixed = rows.groupBy("tok").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("tok")
-    return _stored(rows.join(mixed, "tok"), "open-postings")
+    return _stored(rows.join(_stored(mixed, "open-shingles"), "tok"), "open-postings")
 
 
 def _stars(postings: DataFrame, turn: int) -> DataFrame:
@@ -243,8 +251,9 @@ def _stars(postings: DataFrame, turn: int) -> DataFrame:
     share = (F.col("rare") / F.col("n")) if turn == 0 else F.lit(0.0)
     order = F.struct(share.alias("rare"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp", "n")
     pivots = postings.groupBy("tok").agg(F.min(order).alias("p"))
-    met = postings.join(pivots, "tok").where((F.col("comp") != F.col("p.comp")) & _sizes(F.col("n"), F.col("p.n")))
-    shared = met.groupBy("node", F.col("p.node").alias("pivot")).agg(F.count("*").alias("c"), F.max("l").alias("l"))
+    pivots = _stored(pivots.select("tok", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "comp", "n")]), "pivots")
+    met = postings.join(pivots, "tok").where((F.col("comp") != F.col("p_comp")) & _sizes(F.col("n"), F.col("p_n")))
+    shared = met.groupBy("node", F.col("p_node").alias("pivot")).agg(F.count("*").alias("c"), F.max("l").alias("l"))
     best = shared.where(2 * F.col("c") >= F.col("l")).groupBy("node").agg(F.max(F.struct("c", "pivot")).alias("best"))
     return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
 
@@ -265,18 +274,19 @@ def _sizes(n, m):
     return (5 * n >= 4 * m) & (5 * m >= 4 * n)
 
 
-def _meetings(postings: DataFrame) -> DataFrame:
+def _meetings(postings: DataFrame, signatures: DataFrame) -> DataFrame:
     """Pairs ``a, b`` of postings of one shingle, from different components, that the bounds on
     overlap do not rule out.
 
     In each bucket the nodes outside its largest component meet all nodes, so a bucket that a
-    large component dominates is not squared.
+    large component dominates is not squared. ``signatures`` has the bits of every node; they
+    join the postings here alone, so that no other shuffle carries them.
     """
     sizes = postings.groupBy("tok", "comp").agg(F.count("*").alias("m"))
     major = sizes.groupBy("tok").agg(F.max(F.struct("m", "comp")).alias("x")).select("tok", F.col("x.comp").alias("major"))
-    rows = postings.join(major, "tok")
-    left = rows.where(F.col("comp") != F.col("major")).alias("x")
-    right = rows.alias("y")
+    rows = _stored(postings.join(_stored(major, "major-components"), "tok"), "meeting-postings")
+    left = rows.where(F.col("comp") != F.col("major")).join(signatures, "node").alias("x")
+    right = rows.join(signatures, "node").alias("y")
     apart = (F.col("x.comp") != F.col("y.comp")) & _sizes(F.col("x.n"), F.col("y.n"))
     once = (F.col("y.comp") == F.col("y.major")) | (F.col("x.node") < F.col("y.node"))
     l = F.least("x.l", "y.l")  # noqa: E741
@@ -298,9 +308,9 @@ def _meetings(postings: DataFrame) -> DataFrame:
     return met.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), l.alias("l"))  # by node
 
 
-def _pairs(postings: DataFrame) -> DataFrame:
+def _pairs(postings: DataFrame, signatures: DataFrame) -> DataFrame:
     """All pairs of nodes in different components that share enough prefix shingles."""
-    met = _meetings(postings).groupBy("a.node", F.col("b.node").alias("other")).agg(
+    met = _meetings(postings, signatures).groupBy("a.node", F.col("b.node").alias("other")).agg(
         F.count("*").alias("c"),
         F.max("l").alias("l"),
         *[F.max(f"{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in ("n", "pos")],
@@ -310,41 +320,41 @@ def _pairs(postings: DataFrame) -> DataFrame:
 
 
 def join(documents: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
-    """``(sets, named, repeated)``: sets with ``doc_id, n_shingles, set_hi, set_lo`` per row, of
-    every distinct set ``hi, lo, component`` (the smallest doc_id of its component), and whether
-    a doc_id stands on several rows. Rows without an id take no part.
+    """``(sets, members, plain)``: sets with ``doc_id, n_shingles, set_hi, set_lo`` per row; of
+    every distinct set ``hi, lo, family, component`` (its component, and that one's smallest
+    doc_id); and whether every row with words has an id of its own.
 
-    Every distinct set is a node, also where rows of one id differ in text.
+    Every distinct set is a node, also where rows of one id differ in text or have no id.
     """
     documents = documents.select("doc_id", "text")
     sets = _stored(_sets(documents, frequent_shingles(documents)), "shingle-sets")
-    real = sets.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    repeated = real.select("doc_id").count() != real.select("doc_id").distinct().count()
+    real = sets.where(F.col("n_shingles") > 0)
+    counts = sets.agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids")).collect()[0]
+    plain = counts.rows == counts.ids
     nodes = real.groupBy(F.col("set_hi").alias("hi"), F.col("set_lo").alias("lo")).agg(F.min("doc_id").alias("least_id"))
-    named = documents.where(F.col("doc_id").isNotNull())
-    if repeated:
-        nodes = _stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-        texts = _texts_of_sets(named, nodes)
-        rows = real.dropDuplicates(["doc_id", "set_hi", "set_lo"])
-    else:
+    if plain:
         nodes = _stored(nodes.withColumn("node", F.col("least_id")), "nodes")
-        texts = named.select(F.col("doc_id").alias("node"), "text")
+        texts = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("node"), "text")
         rows = sets
+    else:
+        nodes = _stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+        texts = _texts_of_sets(documents, nodes)
+        rows = real.dropDuplicates(["doc_id", "set_hi", "set_lo"])
     postings = _postings(rows, nodes)
     links, comps = None, None
     for turn in range(ROUNDS + 1):
         postings = _open(postings, comps)
-        found = verified(_stars(postings, turn) if turn < ROUNDS else _pairs(postings), texts)
+        pairs = _stars(postings, turn) if turn < ROUNDS else _pairs(postings, _of_nodes(rows, nodes).select("node", "bits"))
+        found = verified(pairs, texts)
         links = found if links is None else links.unionByName(found)
         comps = components(links)
-    members = nodes.join(comps, "node", "left")
-    if repeated:
-        members = members.withColumn("component", F.coalesce("component", "node"))
-        least = members.groupBy("component").agg(F.min("least_id").alias("least"))
-        members = members.join(least, "component").withColumn("component", F.col("least"))
+    members = nodes.join(comps, "node", "left").withColumn("family", F.coalesce("component", "node"))
+    if plain:
+        members = members.withColumn("component", F.col("family"))
     else:
-        members = members.withColumn("component", F.coalesce("component", "node"))
-    return sets, members.select("hi", "lo", "component"), repeated
+        least = members.groupBy("family").agg(F.min("least_id").alias("least"))
+        members = members.join(least, "family").withColumn("component", F.col("least"))
+    return sets, members.select("hi", "lo", "family", "component"), plain
 
 
 def _texts_of_sets(documents: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -362,37 +372,51 @@ def with_components(documents: DataFrame) -> DataFrame:
     different texts the component of their own text. Rows with a null id have a null component.
     Other columns are not carried; an empty table gives no rows.
     """
-    return _rows_with_components(documents)[0].select("doc_id", "n_shingles", "component_id")
+    return _rows_with_components(*join(documents)[:2])
 
 
-def _rows_with_components(documents: DataFrame) -> tuple[DataFrame, bool]:
-    """The rows of ``with_components`` with their set, and whether a doc_id repeats."""
-    sets, named, repeated = join(documents)
-    rows = sets.select("doc_id", "n_shingles", "set_hi", "set_lo")
-    rows = rows.join(named, (rows.set_hi == named.hi) & (rows.set_lo == named.lo), "left")
+def _rows_with_components(sets: DataFrame, members: DataFrame) -> DataFrame:
+    rows = sets.join(members, (sets.set_hi == members.hi) & (sets.set_lo == members.lo), "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("doc_id")))
     component = F.when(F.col("n_shingles") > 0, own).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", "set_hi", "set_lo", component.alias("component_id")), repeated
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def _unused(documents: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``documents`` has."""
+    taken = {c.lower() for c in documents.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def one_per_group(documents: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns: of each component the rows with the
-    smallest id (its component's id). Documents without words or without an id all stay. Rows
-    of one id with different texts go or stay each by its own text."""
-    rows, repeated = _rows_with_components(documents)
-    gone = rows.where(F.col("component_id") != F.col("doc_id"))
-    if repeated:
-        gone = gone.select(F.struct("doc_id", F.array("set_hi", "set_lo")).alias("gone_key"))
-        key = F.struct("doc_id", set_key("text"))
-    else:
-        gone, key = gone.select(F.col("doc_id").alias("gone_key")), F.col("doc_id")
-    gone = _stored(gone.distinct(), "copies")
+    """The documents that stay, with all their columns: of each component one row, one with the
+    smallest id. Rows without an id belong to the component of their text, and stay only where no
+    row with an id is in it. Of rows that repeat an id and a text one stays, of rows of one id with
+    different texts those whose own component keeps them. Documents without words all stay."""
+    sets, members, plain = join(documents)
+    if not plain:
+        return _one_row_per_family(documents, members)
+    rows = _rows_with_components(sets, members)
+    name = _unused(documents, "gone_id")
+    gone = _stored(rows.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias(name)), "copies")
+    if gone.count() <= SHARED_IDS:
+        gone = F.broadcast(gone)
+    return documents.join(gone, F.col("doc_id") == F.col(name), "left_anti")
+
+
+def _one_row_per_family(documents: DataFrame, members: DataFrame) -> DataFrame:
+    """``one_per_group`` for rows that ids do not tell apart: they are written with a number."""
+    rows = documents.select(F.struct("*").alias("row"), set_key("text").alias("key"), F.monotonically_increasing_id().alias("number"))
+    rows = _stored(rows, "numbered-rows")
+    families = rows.select("number", F.col("row.doc_id").alias("id"), F.col("key")[0].alias("hi"), F.col("key")[1].alias("lo")).join(members, ["hi", "lo"])
+    order = F.struct(F.col("id").isNull(), "id", "hi", "lo", "number")
+    kept = _stored(families.groupBy("family").agg(F.min(order).alias("x")).select(F.col("x.number").alias("number")), "kept-rows")
+    gone = _stored(families.select("number").join(kept, "number", "left_anti"), "copies")
     if gone.count() <= SHARED_IDS:
         gone = F.broadcast(gone)
-    if not repeated:
-        return documents.join(gone, key == F.col("gone_key"), "left_anti")
-    keyed = documents.select(F.struct("*").alias("row"), key.alias("key"))
-    return keyed.join(gone, F.col("key") == F.col("gone_key"), "left_anti").select("row.*")
+    return rows.join(gone, "number", "left_anti").select("row.*")
 
 
 def op7_jaccard_join(spark: SparkSession, documents: DataFrame) -> DataFrame:

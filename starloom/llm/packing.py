@@ -8,7 +8,7 @@ minimise the sum of padding and penalties:
     cost(j) = penalty(j) + length - at(j) + min over i, at(j) - at(i) <= length, of cost(i) + at(i)
 
 The minimum slides with j, so a monotone queue of candidates gives every transition in
-amortised constant time. The program runs over blocks of about ``BLOCK_CHARS`` characters;
+amortised constant time. The program runs over blocks of about ``BLOCK_BYTES`` bytes of text;
 each block hands its last window on to the next, so a task holds one block whatever its
 partition. No row is shuffled: partitions pack independently, and each leaves at most one
 partly filled window. Sequence ids hold the partition in their upper bits, so they are unique
@@ -26,17 +26,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from starloom.llm.common import worker_state
-from starloom.llm.pieces import PieceIds, library_encoder, plain, slices
+from starloom.llm.common import text_slices, worker_state
+from starloom.llm.pieces import PieceIds, library_encoder, plain
 
-BLOCK_CHARS = 2_000_000
+BLOCK_BYTES = 2_000_000
 SENTENCE_PENALTY = 1.0
 GRID_PENALTY = 6.0
 #: Distance of the grid cuts inside a sentence; shorter sentences than 1.5 of it have none.
 GRID = 16
-SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
+SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long"
 
 
 class Document:
@@ -159,8 +158,11 @@ def pack_block(block: Block, length: int, first_sequence: int, last: bool):
     return columns, len(ends) - 1, Block(rest, at[kept] - stop, block.penalties[kept])
 
 
-def pack(documents: DataFrame, tokenizer_file: str, end_id: int = 0, length: int = 1024, pattern: str | None = None) -> DataFrame:
-    """Pieces ``doc_id, start, length, doc_tokens, sequence_id, offset, ids`` of all documents.
+def pack(
+    documents: DataFrame, tokenizer_file: str, end_id: int = 0, length: int = 1024, pattern: str | None = None, hashed: bool = False
+) -> DataFrame:
+    """Pieces ``doc_id, start, length, doc_tokens, sequence_id, offset, ids`` of all documents;
+    ``hashed`` gives ``ids_crc32`` (unsigned) in the place of ``ids``.
 
     Each document's ids are followed by ``end_id``; a null or empty text is that id alone.
     Every id lies in exactly one piece, sequences hold at most ``length`` ids without gaps, and
@@ -173,7 +175,7 @@ def pack(documents: DataFrame, tokenizer_file: str, end_id: int = 0, length: int
     key = ("packing", zlib.crc32(data))
     end = np.array([end_id], "<u4").tobytes()
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
+    names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32" if hashed else "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = worker_state(key, lambda: PieceIds(library_encoder(shared.value, pattern)))
@@ -187,29 +189,23 @@ def pack(documents: DataFrame, tokenizer_file: str, end_id: int = 0, length: int
             columns = [
                 pa.array([held[d].doc_id for d in doc.tolist()], kind),
                 *(pa.array(x, pa.int64()) for x in (start, size, np.array([held[d].total for d in doc.tolist()], np.int64), seq, offset)),
-                pa.array(parts, pa.binary()),
+                pa.array(map(zlib.crc32, parts), pa.int64()) if hashed else pa.array(parts, pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
             kind = batch.column(0).type
-            doc_ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for i, j in slices(texts, BLOCK_CHARS):
-                waiting = waiting.then(read_block(doc_ids[i:j], texts[i:j], ids, end))
+            for i, j, texts in text_slices(batch.column(1), BLOCK_BYTES):
+                waiting = waiting.then(read_block(batch.column(0)[i:j].to_pylist(), texts, ids, end))
                 yield rows(last=False)
         if waiting.documents:
             yield rows(last=True)
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {SCHEMA}")
-
-
-def digest(pieces: DataFrame) -> DataFrame:
-    """The contract's columns: the ids as their crc32."""
-    return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
-    )
+    last = "ids_crc32 long" if hashed else "ids binary"
+    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {SCHEMA}, {last}")
 
 
 def op8_packing(spark: SparkSession, documents: DataFrame, tokenizer_file: str, pattern: str) -> DataFrame:
     """Pack all documents into sequences of at most 1024 ids."""
-    return digest(pack(documents, tokenizer_file, pattern=pattern))
+    pieces = pack(documents, tokenizer_file, pattern=pattern, hashed=True)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -45,11 +45,17 @@ def whole(piece: str) -> str:
     return piece if piece.startswith("\n") else " " + piece
 
 
+def older_half(memo: dict) -> dict:
+    """The entries that came first: what occurs often is met early."""
+    return dict(islice(memo.items(), len(memo) // 2))
+
+
 class PieceIds:
     """Ids of whole texts (little-endian unsigned 32-bit) through a bounded piece memo.
 
     ``encode`` maps a list of strings to a list of id bytes; it sees each distinct piece once
-    per filling of the memo. The memo starts again from empty beyond ``budget`` bytes.
+    per filling of the memo. Beyond ``budget`` bytes the memo goes back to the half it learned
+    first, which holds the frequent pieces.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], budget: int = MEMO_BYTES):
@@ -58,6 +64,8 @@ class PieceIds:
         self.held = 0
         self.after: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
+        #: the pieces but the first ones that the last call of ``pieces`` learned
+        self.learned: set[str] = set()
 
     def _fill(self, memo: dict, missing: list[str], full: Callable[[str], str]) -> None:
         for i in range(0, len(missing), 20_000):
@@ -92,14 +100,14 @@ class PieceIds:
     def pieces(self, texts: list[str]) -> list[list[str]]:
         """The pieces of each text, with the ids of all of them in the memo."""
         if self.held > self.budget:
-            self.after.clear()
-            self.first.clear()
-            self.held = 0
+            self.after, self.first = older_half(self.after), older_half(self.first)
+            self.held = sum(ENTRY_BYTES + len(k) + len(v) for memo in (self.after, self.first) for k, v in memo.items())
         cuts = [cut(t) for t in texts]
         missing: set[str] = set()
         for c in cuts:
             missing.update(filterfalse(self.after.__contains__, islice(c, 1, None)))
         single, made, bodies, bare = self._split(missing)
+        self.learned = missing | bodies
         bare.update(c[0] for c in cuts)
         self._fill(self.first, list(bare.difference(self.first)), str)
         self._fill(self.after, list(bodies.difference(self.after).union(single)), whole)
@@ -245,8 +253,8 @@ class WordIds:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if self.held > MEMO_BYTES:
-            self.memo.clear()
-            self.held = 0
+            self.memo = older_half(self.memo)
+            self.held = sum(ENTRY_BYTES + len(k) + len(v) for k, v in self.memo.items())
         words = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
         missing: set[bytes] = set()
         for w in words:

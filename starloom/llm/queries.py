@@ -11,7 +11,9 @@ from starloom.llm import oracle
 from starloom.llm.byte_bpe import op3_byte_bpe
 from starloom.llm.common import table
 from starloom.llm.jaccard_join import op7_jaccard_join
+from starloom.llm.mixing import op11_mixing
 from starloom.llm.packing import op8_packing
+from starloom.llm.prefix_trie import op12_prefix_trie
 from starloom.llm.quality_classifier import op5_quality_classifier
 from starloom.llm.quality_rules import op4_quality_rules
 from starloom.llm.token_alignment import op13_token_alignment
@@ -67,6 +69,14 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_mixing(spark, table(spark, sf_dir, "documents"))
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_prefix_trie(spark, table(spark, sf_dir, "conversations"))
+
+
 def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     definition, model = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return op13_token_alignment(spark, table(spark, sf_dir, "documents"), definition, model, public_tokenizers.PATTERN)
@@ -83,6 +93,8 @@ QUERIES: dict[str, Query] = {
     "op8_packing": _op8,
     "op9_topk_search": _op9,
     "op10_token_files": _op10,
+    "op11_mixing": _op11,
+    "op12_prefix_trie": _op12,
     "op13_token_alignment": _op13,
 }
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from itertools import chain, filterfalse, islice
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ENTRY_BYTES, text_slices, worker_state
+from starloom.llm.common import text_slices, worker_state
 from starloom.llm.pieces import PieceIds, library_encoder, ranks_of
 from starloom.session import scratch_path
 
@@ -44,7 +44,7 @@ BLOCK_BYTES = 12_000_000
 #: Links expanded at once.
 LINKS = 4_000_000
 #: Bytes that a worker's memo of pieces may hold, for each tokenizer.
-MEMO_BYTES = 48_000_000
+MEMO_BYTES = 100_000_000
 #: Groups of more links than this are first reduced to distinct ids with their numbers.
 DENSE = 64
 BLANK = "▁"
@@ -74,7 +74,6 @@ class PieceTokens:
         self.memo: dict[tuple[str, bool] | str, bytes] = {"": self.blank}
         #: pieces whose tokens do not give their bytes back
         self.lossy: set = set()
-        self.held = 0
 
     def _encode(self, texts: list[str]) -> tuple[list[bytes], np.ndarray]:
         """The ids of each text, and the bytes that its tokens stand for in all."""
@@ -102,23 +101,23 @@ class PieceTokens:
                 if isinstance(key, str) and key[0] == "\n" and ids[:4] == self.blank:  # no blank stands before it
                     ids = ids[4:]
                 self.memo[key] = ids
-            self.held += ENTRY_BYTES * len(part) + int(lengths.sum()) + sum(map(len, found))
 
-    def ids(self, spaced: list[str], cuts: list[list[str]]) -> list[bytes | None]:
+    def forget(self, kept: dict) -> None:
+        """Go on with the pieces in ``kept`` alone, beside those that begin texts."""
+        self.memo = {k: v for k, v in self.memo.items() if k in kept}
+        self.memo[""] = self.blank
+        self.lossy.intersection_update(self.memo)
+
+    def ids(self, spaced: list[str], cuts: list[list[str]], learned: set[str]) -> list[bytes | None]:
         """Ids of texts, each given with a blank before it and as the pieces of that; None where
-        the tokens do not give these bytes back."""
+        the tokens do not give these bytes back. ``learned``: the pieces that may be new."""
         if not self.cuts:
             found, _ = self._encode([s[1:] for s in spaced])
             return [i if self.joined(i) == s.encode() else None for s, i in zip(spaced, found, strict=True)]
-        if self.held > MEMO_BYTES:
-            self.memo = {"": self.blank}
-            self.lossy.clear()
-            self.held = 0
         # the first piece is empty where the text begins with a word, else it starts with the blank
         cuts = [(c[1:] if c[0] == "" else [(c[0][1:], True), *islice(c, 1, None)]) for c in cuts]
-        missing: set = set()
-        for c in cuts:
-            missing.update(filterfalse(self.memo.__contains__, c))
+        missing = learned.difference(self.memo)
+        missing.update(c[0] for c in cuts if c[0] not in self.memo)
         self._learn(list(missing))
         get = self.memo.__getitem__
         out: list[bytes | None] = []
@@ -150,26 +149,48 @@ def groups(doc_a, start_a, end_a, doc_b, start_b, end_b) -> tuple[np.ndarray, np
     i, j = np.divmod(overlaps, n)
     closes = end_a[i] == end_b[j]
     group = np.cumsum(closes) - closes
-    return group[np.searchsorted(i, a["i"])], group[np.searchsorted(j, b["j"])]
-
-
-def _side(group: np.ndarray, ids: np.ndarray, dense: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``group, id, times`` of one side; ids of ``dense`` groups once each, with their number."""
-    many = dense[group]
-    key, times = np.unique(group[many] << 32 | ids[many], return_counts=True)
-    g, x = np.concatenate([group[~many], key >> 32]), np.concatenate([ids[~many], key & 0xFFFFFFFF])
-    order = np.argsort(g, kind="stable")
-    return g[order], x[order], np.concatenate([np.ones((~many).sum(), np.int64), times])[order]
-
-
-def _summed(keys: tuple[np.ndarray, ...], weights: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-    """Distinct ``(document, pair)`` keys, ascending, with the sum of their weights."""
-    order = np.lexsort(keys[::-1])
-    sorted_keys = [k[order] for k in keys]
+    # both sides ascend, so a token's first overlap is where its number changes
+    return group[np.diff(i, prepend=-1) > 0], group[np.diff(j, prepend=-1) > 0]
+
+
+def _side(group: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``group, id, times``: the distinct ids of each group with their number."""
+    key, times = np.unique(group << 32 | ids, return_counts=True)
+    return key >> 32, key & 0xFFFFFFFF, times
+
+
+def _summed(doc: np.ndarray, pair: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ``document, pair``, ascending, with the sum of their times (None: 1 each)."""
+    if times is None and len(pair) and pair.max() < 1 << 48 and (pair & 0xFFFFFFFF).max() < 1 << 16 and doc[-1] < 1 << 31:
+        # the usual vocabularies: document and pair in one number
+        key, times = np.unique(doc << 32 | pair >> 16 | pair & 0xFFFF, return_counts=True)
+        return key >> 32, (key & 0xFFFF0000) << 16 | key & 0xFFFF, times
+    if times is None:
+        times = np.ones(len(pair), np.int64)
+    order = np.lexsort((pair, doc))
+    doc, pair = doc[order], pair[order]
     new = np.ones(len(order), bool)
-    new[1:] = np.any([k[1:] != k[:-1] for k in sorted_keys], axis=0) if len(order) else False
+    new[1:] = (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])
     at = np.flatnonzero(new)
-    return tuple(k[at] for k in sorted_keys), np.add.reduceat(weights[order], at) if len(at) else weights[:0]
+    return doc[at], pair[at], np.add.reduceat(times[order], at) if len(at) else times[:0]
+
+
+def _expanded(side_a, side_b, doc_of_group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Links of the groups of two sides ``group, id, times`` (times None: 1), about LINKS at once."""
+    (ga, a, times_a), (gb, b, times_b) = side_a, side_b
+    count = np.bincount(gb, minlength=len(doc_of_group))
+    first = (np.cumsum(count) - count)[ga]
+    count = count[ga]
+    done = np.cumsum(count)
+    i = 0
+    while i < len(ga):
+        j = max(i + 1, int(np.searchsorted(done, (done[i - 1] if i else 0) + LINKS, side="right")))
+        n = count[i:j]
+        row = np.repeat(np.arange(i, j), n)
+        other = np.repeat(first[i:j] - (np.cumsum(n) - n), n) + np.arange(len(row))
+        times = None if times_a is None else times_a[row] * times_b[other]
+        yield _summed(doc_of_group[ga[row]], a[row] << 32 | b[other], times)
+        i = j
 
 
 def links(group_a, ids_a, group_b, ids_b, doc_of_group) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,27 +202,26 @@ def links(group_a, ids_a, group_b, ids_b, doc_of_group) -> tuple[np.ndarray, np.
     """
     n_groups = len(doc_of_group)
     dense = np.bincount(group_a, minlength=n_groups) * np.bincount(group_b, minlength=n_groups) > DENSE
-    ga, a, times_a = _side(group_a, ids_a, dense)
-    gb, b, times_b = _side(group_b, ids_b, dense)
-    first, count = np.searchsorted(gb, ga), np.bincount(gb, minlength=n_groups)[ga]
-    done = np.cumsum(count)
-    parts, i = [], 0
-    while i < len(ga):
-        j = max(i + 1, int(np.searchsorted(done, (done[i - 1] if i else 0) + LINKS, side="right")))
-        n = count[i:j]
-        row = np.repeat(np.arange(i, j), n)
-        other = first[row] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        pair = a[row] << 32 | b[other]
-        parts.append(_summed((doc_of_group[ga[row]], pair), times_a[row] * times_b[other]))
-        i = j
-    if not parts:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    if len(parts) == 1:
-        (doc, pair), times = parts[0]
+    if dense.any():
+        in_a, in_b = dense[group_a], dense[group_b]
+        parts = list(_expanded((group_a[~in_a], ids_a[~in_a], None), (group_b[~in_b], ids_b[~in_b], None), doc_of_group))
+        parts += _expanded(_side(group_a[in_a], ids_a[in_a]), _side(group_b[in_b], ids_b[in_b]), doc_of_group)
     else:
-        keys = [np.concatenate([p[0][k] for p in parts]) for k in (0, 1)]
-        (doc, pair), times = _summed(tuple(keys), np.concatenate([p[1] for p in parts]))
-    return doc, pair, times
+        parts = list(_expanded((group_a, ids_a, None), (group_b, ids_b, None), doc_of_group))
+    if len(parts) == 1:
+        return parts[0]
+    if not parts:
+        return tuple(np.empty(0, np.int64) for _ in range(3))
+    return _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
+def id_table(sizes: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of both sides as text with each mark that can follow them ("," or "|" after an A id,
+    "," or ";" after a B id): a row of bytes for each, and which of them count."""
+    words = [b"%d%s" % (i, mark) for n, marks in zip(sizes, (b",|", b",;"), strict=True) for i in range(n) for mark in (marks[:1], marks[1:])]
+    width = max(map(len, words))
+    table = np.frombuffer(b"".join(w.ljust(width) for w in words), np.uint8).reshape(-1, width)
+    return table, table != ord(" ")
 
 
 class Aligner:
@@ -213,13 +233,13 @@ class Aligner:
             raise ValueError("the first tokenizer is not byte-level BPE by ranks")
         self.a = PieceIds(library_encoder(definition, pattern), budget=MEMO_BYTES)
         self.b = PieceTokens(model)
+        self.held = 0
         self.len_a = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             self.len_a[i] = len(token)
         self.len_b = self.b.lengths
-        # an id as text with each mark that can follow it: A ids "," or "|", then B ids "," or ";"
         self.shift = 2 * len(self.len_a)
-        self.words = [b"%d%s" % (i, mark) for n, marks in ((len(self.len_a), b",|"), (len(self.len_b), b",;")) for i in range(n) for mark in (marks[:1], marks[1:])]
+        self.table, self.counts = id_table((len(self.len_a), len(self.len_b)))
 
     def batch(self, texts: list[str]):
         """Per text ``n_a, n_b, n_groups, n_links, digest``, and ``links`` of all texts."""
@@ -227,7 +247,10 @@ class Aligner:
         spaced = [" " + t if t else "" for t in texts]
         asked = [k for k, s in enumerate(spaced) if s]
         cuts = self.a.pieces([spaced[k] for k in asked])
-        found_b = self.b.ids([spaced[k] for k in asked], cuts)
+        if self.a.held < self.held:  # it went back to the frequent pieces
+            self.b.forget(self.a.after)
+        self.held = self.a.held
+        found_b = self.b.ids([spaced[k] for k in asked], cuts, self.a.learned)
         get = self.a.after.__getitem__
         parts_a, parts_b = [b""] * n, [b""] * n
         for k, c, b in zip(asked, cuts, found_b, strict=True):
@@ -252,9 +275,11 @@ class Aligner:
         ends_a[np.cumsum(size_a) - 1], ends_b[np.cumsum(size_b) - 1] = 1, 1
         order[np.arange(len(ids_a)) + before_b[group_a]] = 2 * ids_a + ends_a
         order[np.arange(len(ids_b)) + through_a[group_b]] = self.shift + 2 * ids_b + ends_b
-        words = list(map(self.words.__getitem__, order.tolist()))
-        edges = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
-        digests = [hashlib.sha256(b"".join(words[i:j])[:-1]).hexdigest() if j > i else "" for i, j in zip(edges, edges[1:], strict=False)]
+        counts = self.counts[order]
+        written = self.table[order][counts].tobytes()
+        sizes = np.concatenate([[0], np.cumsum(counts.sum(axis=1))])
+        edges = sizes[np.concatenate([[0], np.cumsum(n_a + n_b)])].tolist()
+        digests = [hashlib.sha256(written[i : j - 1]).hexdigest() if j > i else "" for i, j in zip(edges, edges[1:], strict=False)]
         return (n_a, n_b, np.diff(last), np.diff(linked), digests), links(group_a, ids_a, group_b, ids_b, doc_of_group)
 
 

@@ -106,6 +106,18 @@ def test_edges(spark, edge, libraries):
     assert ta.op13_token_alignment(spark, edge.limit(0), A, B, pt.PATTERN).count() == 0
 
 
+def test_memos_that_start_again(libraries, texts, monkeypatch):
+    """Both memos go back to the frequent pieces in step, and nothing changes."""
+    monkeypatch.setattr(ta, "MEMO_BYTES", 20_000)
+    contents = [open(p, "rb").read() for p in (A, B)]
+    small, every = ta.Aligner(*contents, pt.PATTERN), ODD + list(texts.values())[:60] + ODD
+    expected = ta.Aligner(*contents, pt.PATTERN)
+    expected.a.budget = 10**9
+    for k in range(0, len(every), 5):
+        assert small.batch(every[k : k + 5])[0][4] == expected.batch(every[k : k + 5])[0][4]
+    assert len(small.b.memo) < len(expected.b.memo)
+
+
 def test_dense_groups_and_chunks(monkeypatch):
     monkeypatch.setattr(ta, "LINKS", 7)
     rng = np.random.default_rng(3)
@@ -117,6 +129,8 @@ def test_dense_groups_and_chunks(monkeypatch):
         expected = Counter()
         for g, a in zip(group_a, ids_a, strict=True):
             expected.update((int(doc[g]), int(a) << 32 | int(b)) for h, b in zip(group_b, ids_b, strict=True) if g == h)
+        wide = ta.links(group_a, ids_a + 70_000, group_b, ids_b + 70_000, doc)
+        assert sorted(wide[2].tolist()) == sorted(expected.values())
         found = ta.links(group_a, ids_a, group_b, ids_b, doc)
         assert dict(zip(zip(found[0].tolist(), found[1].tolist(), strict=True), found[2].tolist(), strict=True)) == expected
 
