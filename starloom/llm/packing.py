@@ -32,7 +32,7 @@ from starloom.llm.pieces import PieceIds, library_encoder, plain
 
 BLOCK_BYTES = 2_000_000
 SENTENCE_PENALTY = 1.0
-GRID_PENALTY = 6.0
+GRID_PENALTY = 50.0
 #: Distance of the grid cuts inside a sentence; shorter sentences than 1.5 of it have none.
 GRID = 16
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long"

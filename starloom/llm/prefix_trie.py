@@ -9,7 +9,7 @@ hashed by itself, and each gets the hash of the pieces before it.
 Subtree totals (leaves, saved tokens) flow from the deepest nodes up:
 
 * Shards: a node with more than ``HEAVY`` members stands alone; below such nodes a subtree is cut
-  every ``BAND`` levels. A shard thus holds at most HEAVY times BAND nodes, whatever the data.
+  every ``BAND`` levels. So the paths through a shard and their length are bounded, whatever is hot.
 * Across shard roots: shards without further shards below pass their sums to their parent shard by
   aggregation. The others, few by construction, are processed in reverse level order.
 * Within shards: nodes come externally sorted in reverse level order. A node takes the totals
@@ -35,8 +35,12 @@ from starloom.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 FAMILY = 20
 HEADS = 4
-HEAVY = 5_000
-BAND = 1_000
+#: A node with more members stands alone, and other subtrees are cut every so many levels. Both
+#: grow with the table where it has more than SKELETON times as many conversations or turns, so
+#: that what one task processes across shard roots stays within a few times SKELETON nodes.
+HEAVY = 500
+BAND = 500
+SKELETON = 100_000
 #: Messages of a priority queue held in memory, and read from a spilled run at once.
 QUEUE = 200_000
 RUN_ROWS = 4_096
@@ -309,6 +313,8 @@ def trie(conversations: DataFrame) -> DataFrame:
     members of the root. Other columns are not carried; an empty table gives no rows.
     """
     paths, convs = rebuilt(conversations)
+    total = convs.agg(F.count("*").alias("convs"), F.coalesce(F.sum("length"), F.lit(0)).alias("turns")).collect()[0]
+    most, levels = max(HEAVY, total.convs // SKELETON), max(BAND, total.turns // SKELETON)
     zero = F.lit(0).cast("long")
     nodes = paths.groupBy(*KEY).agg(
         F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.min("words").alias("words")
@@ -323,20 +329,20 @@ def trie(conversations: DataFrame) -> DataFrame:
     children = own.where("depth > 0").groupBy(F.col("r0").alias("m0"), F.col("p1").alias("m1"), F.col("p2").alias("m2")).agg(F.count("*").alias("n_children"))
     own = own.join(upper, (F.col("r0") == F.col("q0")) & (F.col("p1") == F.col("q1")) & (F.col("p2") == F.col("q2")), "left")
     own = own.join(children, _and(_on("node", "m")), "left")
-    heavy, light_parent = (F.col("depth") == 0) | (F.col("n_convs") > HEAVY), (F.col("q0") > 0) & (F.col("parent_n") <= HEAVY)
+    heavy, light_parent = (F.col("depth") == 0) | (F.col("n_convs") > most), (F.col("q0") > 0) & (F.col("parent_n") <= most)
     own = own.select(
         *KEY, "q0", "q1", "q2", "conv_id", "parent_conv_id", "n_convs",
         F.coalesce("n_children", zero).alias("n_children"),
         F.col("n_children").isNull().cast("long").alias("leaves"),
         ((F.col("n_convs") - 1) * F.col("words")).alias("saved"),
         heavy.alias("heavy"),
-        (heavy | ~light_parent | (F.col("depth") % BAND == 0)).alias("top"),
+        (heavy | ~light_parent | (F.col("depth") % levels == 0)).alias("top"),
     )
     own = _stored(own, "own-nodes")
 
     # every light node's shard: the one top of its band on the path of its smallest member
     tops = own.where("top and not heavy").select(F.col("depth").alias("g0"), F.col("k1").alias("g1"), F.col("k2").alias("g2"))
-    band = F.floor(F.col("depth") / BAND)
+    band = F.floor(F.col("depth") / levels)
     shard_of = paths.join(tops, _and(_on("node", "g"))).select(F.col("conv_id").alias("member"), band.alias("of_band"), "g0", "g1", "g2")
     light = own.where("not heavy").join(shard_of, (F.col("conv_id") == F.col("member")) & (band == F.col("of_band"))).drop("member", "of_band")
     alone = own.where("heavy").select("*", F.col("depth").alias("g0"), F.col("k1").alias("g1"), F.col("k2").alias("g2"))
@@ -361,7 +367,7 @@ def trie(conversations: DataFrame) -> DataFrame:
         *[F.col(f"q{i}").alias(f"n{i}") for i in range(3)],
         *[(F.col(c) + F.coalesce(f"more_{c}", zero)).alias(c) for c in ("leaves", "saved")],
     )
-    # one task: only heavy nodes and shards cut by a band, at most a row per HEAVY or BAND turns
+    # one task: only heavy nodes and shards cut by a band, at most a row per so many turns
     skeleton = time_forward(skeleton.repartition(1).sortWithinPartitions(F.desc("depth"), "k1", "k2"))
     totals = skeleton.select("n0", "n1", "n2", "leaves", "saved")
     totals = totals.unionByName(lowest.select(*[F.col(f"q{i}").alias(f"n{i}") for i in range(3)], "leaves", "saved"))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starloom.llm import jaccard_join as jj
@@ -122,10 +123,21 @@ def test_edge_rows(spark, edge):
     assert by_id[2].n_shingles == by_id[4].n_shingles == 0 and by_id[7].n_shingles == 1
     kept = jj.one_per_group(edge)
     assert kept.columns == edge.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "1", "2", "3", "4", "5", "7", "None"])
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "3", "4", "5", "7", "None"])
     assert jj.op7_jaccard_join(spark, edge.limit(0)).count() == 0
 
 
+def test_one_row_of_equal_texts_stays(spark):
+    """Whatever their ids, and beside columns named like those the join makes."""
+    text = "seven words are in this very text"
+    for ids, kept in (([1, 2, None, None, 1], [1]), ([None, None], [None]), ([4, 3], [3]), ([5, None], [5])):
+        rows = [(i, text, n, n) for n, i in enumerate(ids)] + [(9, "other words that nobody else has here", 0, 0), (9, "", 0, 0)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, gone_id int, key int")
+        got = jj.one_per_group(frame)
+        assert got.columns == frame.columns
+        assert sorted(str(r.doc_id) for r in got.collect()) == sorted(map(str, [*kept, 9, 9]))
+
+
 def test_one_id_with_different_texts(spark):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(500)]
@@ -240,6 +252,23 @@ def test_pipeline_stages(spark, stages, labels):
     assert {r.doc_id for r in after.collect()} == {r.doc_id for r in before.collect()}
 
 
+def test_pipeline_stages_on_odd_rows(spark, edge, labels):
+    """Nulls, repeated rows, a very long text, clashing columns and no rows at all."""
+    wide = edge.withColumns({c: F.lit(1) for c in ("gone_id", "family", "row", "number", "kept_rule", "y", "hi")})
+    wide = wide.withColumn("n_chars", F.length("text").cast("long"))
+    rows = wide.collect()
+    assert len(rows) == 10
+    for frame in (wide, wide.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, frame, "/root/testdata/sf0.001")
+            assert after.columns == frame.columns, name
+            assert not after.exceptAll(frame).count()
+        packed = corpus_pipeline.STAGES[-1][1](spark, frame, "/root/testdata/sf0.001")
+        assert packed.where("start = 0").count() == frame.count()
+    long = wide.where("doc_id = 5")
+    assert jj.one_per_group(long).count() == 1
+
+
 def test_run_gives_the_last_stage(spark, stages):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.columns == stages[-1][2].columns
