@@ -45,7 +45,7 @@ def replace_literal(c: Column | str, search: str, replacement: str = "") -> Colu
 def head_tokens(c: Column | str, sep: str = "-", n: int = 2, joiner: str = "_") -> Column:
     """First ``n`` tokens of ``c`` split on ``sep``, joined with ``joiner``.
 
-    ``'CO-RF-FR-R92B-58'`` -> ``'CO_RF'``. NULL stays NULL.
+    ``'AC-S1-FR-17'`` -> ``'AC_S1'``. NULL stays NULL.
     """
     c = _col(c)
     parts = F.split(c, _regex_literal(sep))
@@ -55,7 +55,7 @@ def head_tokens(c: Column | str, sep: str = "-", n: int = 2, joiner: str = "_")
 def tail_tokens(c: Column | str, sep: str = "-", skip: int = 2) -> Column:
     """Tokens after the first ``skip`` ones, joined back with ``sep``.
 
-    ``'CO-RF-FR-R92B-58'`` -> ``'FR-R92B-58'``; fewer than ``skip + 1`` tokens give
+    ``'AC-S1-FR-17'`` -> ``'FR-17'``; fewer than ``skip + 1`` tokens give
     ``''``. NULL stays NULL.
     """
     c = _col(c)

@@ -56,7 +56,7 @@ def lookup_customer_sk(fact: DataFrame, dim_current: DataFrame) -> DataFrame:
 
 
 def short_product_key(c: Column | str) -> Column:
-    """``'CO-RF-FR-R92B-58'`` -> ``'FR-R92B-58'``."""
+    """``'AC-S1-FR-17'`` -> ``'FR-17'``."""
     return tail_tokens(strip_ws(c), "-", 2)
 
 
@@ -78,16 +78,15 @@ def lookup_product_sk(fact: DataFrame, dim_current: DataFrame, one_version: str
 def lookup_date_sks(fact: DataFrame, dim_date: DataFrame, null_safe: bool = False) -> DataFrame:
     """Three role-playing lookups (order, ship, due) against one date dimension.
 
-    Without NULL-date rows the date dimension is bounded by the calendar (one row per
-    distinct day), so it is broadcast; Spark builds it once and reuses the exchange for
-    the other two roles. ``null_safe=True`` lets unparseable codes match NULL-date rows
-    (the reference's fan-out); those rows are one per distinct bad code, a size with no
-    bound, so that mode leaves the join strategy to Spark's size check.
+    Plain equality takes one row per ``full_date``, so a repeated date cannot fan a sale out.
+    Spark broadcasts the dates while they are under its size limit (one row per calendar day
+    always is) and builds the exchange once for all three roles. ``null_safe=True`` lets
+    unparseable codes match NULL-date rows (the reference's fan-out); those rows are one per
+    distinct bad code.
     """
     dates = dim_date.select("full_date", "date_sk")
     if not null_safe:
-        # NULL dates never match with plain equality; what remains is calendar-bounded
-        dates = F.broadcast(dates.where(F.col("full_date").isNotNull()))
+        dates = dates.where(F.col("full_date").isNotNull()).groupBy("full_date").agg(F.min("date_sk").alias("date_sk"))
     out = fact
     for code_col, sk_col in DATE_ROLES:
         parsed = f"_{code_col}_date"
@@ -126,4 +125,9 @@ def build_fact_sales(
     out = f.select(*FACT_COLUMNS).withColumn("created_date", lit_date(processing_date))
     if not with_keys:
         return out
-    return assign_dense_keys(out, fact_order(), "sales_sk", "SALES", start)
+    return number_facts(out, start)
+
+
+def number_facts(fact: DataFrame, start: Column | int = 0) -> DataFrame:
+    """Fact rows with dense ``sales_sk``; the lookups behind them run once."""
+    return assign_dense_keys(fact, fact_order(), "sales_sk", "SALES", start, stage_input=True)

@@ -13,9 +13,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
-from starloom.functions.text import strip_ws
-
 DEFAULT_WATERMARK = dt.date(1900, 1, 1)
 
 CONTROL_SCHEMA = T.StructType(
@@ -52,20 +49,6 @@ def read_watermarks(control: DataFrame, tables: list[str]) -> DataFrame:
     )
 
 
-def watermark_of(control: DataFrame, table: str, default: dt.date | None = DEFAULT_WATERMARK) -> Column:
-    """The current watermark of one table as a scalar subquery column."""
-    wm = control.where(F.col("table_name") == table).agg(F.max_by("watermark", "version").alias("wm"))
-    col = wm.scalar()
-    return F.coalesce(col, F.lit(default)) if default is not None else col
-
-
-def max_key_of(control: DataFrame, table: str) -> Column:
-    """Largest surrogate-key number recorded for a table (0 if none), as a scalar
-    subquery -- so a batch continues the fact sequence without scanning the fact."""
-    mk = control.where(F.col("table_name") == table).agg(F.max_by("max_key", "version").alias("mk"))
-    return F.coalesce(mk.scalar(), F.lit(0).cast("long"))
-
-
 def dim_load_filter(opened: DataFrame, watermark: Column) -> DataFrame:
     """Reference dimension filter: keep changed versions, and new members only when
     their effective date is after the watermark (a same-day rerun drops new members)."""
@@ -84,18 +67,6 @@ def dates_not_loaded(dim_date: DataFrame, loaded: DataFrame) -> DataFrame:
     return dim_date.where(F.col("full_date").isNotNull()).join(known, "full_date", "left_anti")
 
 
-def sales_not_loaded(sales: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Sales of a feed that are not yet loaded, whatever their dates. A sale is its row (all
-    feed columns, blanks around ids and product keys aside); of n equal rows in the feed and m
-    loaded ones, n - m are left. One aggregation; null values equal each other."""
-
-    def plain(df: DataFrame) -> DataFrame:
-        stripped = {c: strip_ws(c) for c in ("sls_prd_key", "sls_cust_id")}
-        return df.select(*sales.columns).withColumns(stripped)
-
-    return plain(sales).exceptAll(plain(loaded))
-
-
 def fact_load_filter(fact: DataFrame, watermark: Column | None, column: str = "created_date") -> DataFrame:
     """No watermark (or a NULL one: nothing loaded yet) -> everything; else strictly
     after it. With ``created_date`` this is all-or-nothing per processing day, as in
@@ -103,8 +74,3 @@ def fact_load_filter(fact: DataFrame, watermark: Column | None, column: str = "c
     if watermark is None:
         return fact
     return fact.where(watermark.isNull() | (F.col(column) > watermark))
-
-
-def advance(control: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """The control log after appending a batch's rows."""
-    return control.unionByName(new_rows.select(*control.columns))

@@ -64,13 +64,22 @@ def assign_dense_keys(
     prefix: str | None = None,
     start: Column | int = 0,
     num_partitions: int | None = None,
+    stage_input: bool = False,
 ) -> DataFrame:
     """Append ``key_col`` = ``prefix`` + (start + 1, start + 2, ...) following ``order``.
 
     ``order`` must be total over the rows whose outputs differ; rows that tie on it
     are interchangeable. The numbered rows are staged once as Parquet.
+
+    Range partitioning runs its input twice, once for a sample of the order columns. Where that
+    input is more than a scan (lookups, joins), ``stage_input`` writes it first: it then runs once,
+    and the sample reads the order columns of the written rows.
     """
     spark = df.sparkSession
+    if stage_input:
+        looked_up = scratch_path(spark, f"unnumbered-{key_col}")
+        df.write.parquet(looked_up)
+        df = spark.read.schema(df.schema).parquet(looked_up)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, f"dense-keys-{key_col}")
     # A random last range column lets rows that tie on the whole order (and are

@@ -19,7 +19,7 @@ columns are compared as doubles, and NULL equals NULL.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -217,21 +217,13 @@ def mark_closed(snapshot: DataFrame, changed_sks: DataFrame, spec: SCD2Spec, pro
     )
 
 
-def close_versions(snapshot: DataFrame, changed_sks: DataFrame, spec: SCD2Spec, processing_date):
-    """(closed, unchanged) parts of ``mark_closed``."""
-    marked = mark_closed(snapshot, changed_sks, spec, processing_date)
-    closed = marked.where(F.col("_closed")).drop("_closed")
-    unchanged = marked.where(~F.col("_closed")).drop("_closed")
-    return closed, unchanged
-
-
 def open_versions(
     classified: DataFrame,
     snapshot: DataFrame,
     spec: SCD2Spec,
     processing_date,
     reopen: bool = False,
-    start: Column | None = None,
+    start: Column | int | None = None,
 ) -> DataFrame:
     """New versions for ``new`` and ``changed`` rows, keyed after the snapshot's max.
 
@@ -285,11 +277,3 @@ def current_members(dim: DataFrame, spec: SCD2Spec | None = None) -> DataFrame:
 
 def expired_members(dim: DataFrame, spec: SCD2Spec) -> DataFrame:
     return dim.where(F.col(spec.end_col).isNotNull())
-
-
-def empty_snapshot(spark, spec: SCD2Spec, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema).select(*spec.table_columns)
-
-
-def tracked_columns(spec: SCD2Spec) -> Sequence[str]:
-    return spec.tracked

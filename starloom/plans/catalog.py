@@ -12,11 +12,11 @@ from starloom.functions.dates import clamp_future, parse_iso_date, parse_yyyymmd
 from starloom.functions.text import head_tokens, std_upper, strip_ws
 from starloom.operators import audit, conform, facts, incremental, scd2
 from starloom.operators.keys import assign_dense_keys, key_number, next_key_start
-from starloom.plans.batch import BatchOptions, StoppedBeforeCommit, read_warehouse, run_batch
+from starloom.plans.batch import BatchOptions, StoppedBeforeCommit, read_warehouse, run_batch, run_csv_batch
 from starloom.plans.context import FEED_NAMES, Scenario, loaded_warehouse
 from starloom.session import scratch_path
 from starloom.sources import feeds as feeds_io
-from starloom.sources import schemas, tables
+from starloom.sources import dimensions, ledger, schemas, tables
 from starloom.sources.derived import BATCH1_DATE, BATCH2_DATE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -388,7 +388,9 @@ def _inc_fact_created(s: Scenario) -> DataFrame:
 def _inc_fact_order(s: Scenario) -> DataFrame:
     """I3 by order date (mapping-document variant): the sales of batch 2 that batch 1 did not
     have, with those ordered before its latest order date or without a readable one."""
-    return s.fact_rows_2(incremental.sales_not_loaded(s.feed("sales_details", 2), s.feed("sales_details", 1)))
+    first, second = (ledger.with_ledger_keys(s.feed("sales_details", batch)) for batch in (1, 2))
+    fresh = ledger.not_loaded(second, first.select("d1", "d2", F.lit(1).alias("copies")))
+    return s.fact_rows_2(ledger.repeated(fresh).select(*s.feed("sales_details", 2).columns))
 
 
 @query("batch_audit")
@@ -425,11 +427,54 @@ def _scan_missing(s: Scenario) -> DataFrame:
     return there.unionByName(absent)
 
 
+def _csv_folders(s: Scenario) -> dict[str, str]:
+    """The feeds of batch 2 as folders of CSV files that differ in their column order, with rows
+    that fit no feed beside them: quantities that are no numbers (of a tenth of the sales) and
+    files without most columns (of a tenth of the products)."""
+    root = scratch_path(s.spark, "csv-folders")
+    for name in FEED_NAMES:
+        feed = s.feed(name, 2)
+        half = F.pmod(F.xxhash64(*feed.columns), F.lit(2))
+        feeds_io.write_csv_feed(feed.where(half == 0), f"{root}/{name}")
+        more = feed.where(half == 1).select(*reversed(feed.columns))
+        feeds_io.write_csv_feed(more, f"{root}/{name}", "append")
+    sales = s.feed("sales_details", 2).where("sls_order_dt % 10 = 3")
+    bad = sales.withColumn("sls_quantity", F.concat(F.lit("x"), F.col("sls_quantity").cast("string")))
+    feeds_io.write_csv_feed(bad, f"{root}/sales_details", "append")
+    products = s.feed("product_info", 2).where("prd_id % 10 = 3").select("prd_id", "prd_nm")
+    feeds_io.write_csv_feed(products, f"{root}/product_info", "append")
+    return {name: f"{root}/{name}" for name in FEED_NAMES}
+
+
+def _csv_warehouse(s: Scenario) -> str:
+    wh = scratch_path(s.spark, "warehouse-csv")
+    run_csv_batch(s.spark, _csv_folders(s), wh, BATCH2_DATE)
+    return wh
+
+
+@query("csv_to_fact")
+def _csv_to_fact(s: Scenario) -> DataFrame:
+    """Six folders of CSV files through the whole job to fact_sales, in one batch."""
+    return read_warehouse(s.spark, _csv_warehouse(s))["fact_sales"]
+
+
+@query("csv_file_counts")
+def _csv_file_counts(s: Scenario) -> DataFrame:
+    """Rows read, kept and rejected by feed, and the reasons of the rejects, of a load
+    from CSV files."""
+    rejects, files = tables.read_extract_log(s.spark, _csv_warehouse(s))
+    counted = files.groupBy("feed").agg(*[F.sum(c).alias(c) for c in ("n_read", "n_kept", "n_rejected")])
+    why = F.regexp_replace("reason", ": x.*", "")
+    reasons = rejects.groupBy("feed").agg(F.count("*").alias("n_logged"), F.max(why).alias("reason"))
+    return counted.join(reasons, "feed", "left")
+
+
 @query("dim_snapshot")
 def _dim_snapshot(s: Scenario) -> DataFrame:
-    """A stored dimension version read back (version 1 = the initial load)."""
+    """A stored dimension version read back from its live buckets and its history (version 2,
+    all members)."""
     wh = loaded_warehouse(s.spark, s.sf_dir)
-    return tables.read_snapshot(s.spark, wh, "dim_customer", 1, schemas.DIM_CUSTOMER)
+    return dimensions.read_dimension(s.spark, wh, "dim_customer", 2, schemas.DIM_CUSTOMER)
 
 
 @query("dim_customer_full")

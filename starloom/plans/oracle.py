@@ -520,6 +520,19 @@ FINAL: dict[str, str] = {
     LEFT JOIN dd d2 ON {ymd('s.sls_ship_dt')} IS NOT DISTINCT FROM d2.full_date
     LEFT JOIN dd d3 ON {ymd('s.sls_due_dt')} IS NOT DISTINCT FROM d3.full_date""",
     "fact_sales_full": "SELECT * FROM fact_full",
+    "csv_to_fact": "SELECT * FROM fact_full",
+    "csv_file_counts": """
+    SELECT feed, n + bad AS n_read, n AS n_kept, bad AS n_rejected,
+           CASE WHEN bad > 0 THEN bad END AS n_logged, CASE WHEN bad > 0 THEN reason END AS reason FROM (
+      SELECT 'customer' AS feed, count(*) AS n, 0 AS bad, NULL AS reason FROM erp_customer_b2
+      UNION ALL SELECT 'customer_location', count(*), 0, NULL FROM erp_location_b2
+      UNION ALL SELECT 'customer_info', count(*), 0, NULL FROM crm_customer_b2
+      UNION ALL SELECT 'product_categories', count(*), 0, NULL FROM erp_category
+      UNION ALL SELECT 'product_info', count(*), count(*) FILTER (WHERE prd_id % 10 = 3),
+             'the file has no column prd_key; the file has no column prd_cost; the file has no column prd_line; '
+             || 'the file has no column prd_start_dt; the file has no column prd_end_dt' FROM crm_product_b2
+      UNION ALL SELECT 'sales_details', count(*), count(*) FILTER (WHERE sls_order_dt % 10 = 3),
+             'column sls_quantity holds a value that is no int' FROM crm_sales_b2) kept""",
     "watermark_read": f"""
     SELECT t.table_name, coalesce(w.watermark, DATE '1900-01-01') AS watermark
     FROM (VALUES ('dim_customer'), ('dim_product'), ('dim_date'), ('fact_sales'), ('dim_store')) t(table_name)
@@ -571,7 +584,7 @@ FINAL: dict[str, str] = {
     UNION ALL SELECT 'fact_sales', 'transform', count(*) FROM fact_rows2""",
     "scan_csv_feed": "SELECT * FROM crm_product_b2",
     "scan_missing_feed": "SELECT * FROM crm_product_b2",
-    "dim_snapshot": "SELECT * FROM cust_snap1",
+    "dim_snapshot": "SELECT * FROM cust_merged2",
     "dim_customer_full": "SELECT * FROM cust_merged2",
     "dim_product_full": "SELECT * FROM prod_merged2",
     "dim_date_loaded": "SELECT * FROM dim_date2",

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from typing import Any
 
 
@@ -17,5 +18,6 @@ def run_parallel(tasks: dict[str, Callable[[], Any]], max_workers: int | None =
     if len(tasks) <= 1:
         return {k: fn() for k, fn in tasks.items()}
     with ThreadPoolExecutor(max_workers=max_workers or len(tasks)) as pool:
-        futures = {k: pool.submit(fn) for k, fn in tasks.items()}
+        # each thread sees the caller's context (its staging block)
+        futures = {k: pool.submit(copy_context().run, fn) for k, fn in tasks.items()}
         return {k: f.result() for k, f in futures.items()}

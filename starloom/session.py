@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -64,10 +68,49 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Staging folders made inside the innermost ``staging`` block.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     # one folder per call; the checkpoint dir of the context is already unique per app
-    import uuid
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    staged = _STAGED.get()
+    if staged is not None:
+        staged.append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the folders that ``scratch_path`` named inside it. What the
+    block returns must not read them."""
+    staged: list[str] = []
+    token = _STAGED.set(staged)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        for path in staged:
+            remove_folder(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's path object and file system of ``path``."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, if it is there."""
+    there, files = _file_system(spark, path)
+    files.delete(there, True)
+
 
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+def create_exclusively(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False where it exists already."""
+    there, files = _file_system(spark, path)
+    files.mkdirs(there.getParent())
+    return files.createNewFile(there)
