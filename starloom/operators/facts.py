@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import lit_date, parse_yyyymmdd
 from starloom.functions.text import strip_ws, tail_tokens, zfill
+from starloom.operators.asof import as_of
 from starloom.operators.keys import assign_dense_keys
+from starloom.operators.skew import SalesProfile, salted_left_join
 from starloom.operators.windows import keep_last_by, nulls_lose
 
 FACT_COLUMNS = [
@@ -28,31 +30,40 @@ CUSTOMER_PREFIX = "AW"
 CUSTOMER_ID_WIDTH = 8
 
 
-def customer_key_prefixed(sales: DataFrame, per_row: bool = False) -> Column:
+def customer_key_prefixed(sales: DataFrame, per_row: bool = False, all_prefixed: bool | None = None) -> Column:
     """The CRM customer key for ``sls_cust_id``: stripped, and when the ids are not all
     prefixed, ``'AW' + zfill(8)``.
 
     Reference mode (default) decides once for the whole batch -- if any id lacks the
     prefix, every id is rewritten (already prefixed ones become ``AWAW...``). The
-    decision is a scalar subquery (one partial+final aggregate), not a driver loop.
-    ``per_row=True`` prefixes only the ids that lack it.
+    decision is a scalar subquery (one partial+final aggregate), not a driver loop, or
+    ``all_prefixed`` where a profile of the feed knows it. ``per_row=True`` prefixes only
+    the ids that lack it.
     """
     ids = strip_ws("sls_cust_id")
     padded = F.concat(F.lit(CUSTOMER_PREFIX), zfill(ids, CUSTOMER_ID_WIDTH))
     if per_row:
         return F.when(ids.startswith(CUSTOMER_PREFIX), ids).otherwise(padded)
-    all_prefixed = sales.select(
+    if all_prefixed is not None:
+        return ids if all_prefixed else padded
+    decided = sales.select(
         F.coalesce(F.bool_and(ids.startswith(CUSTOMER_PREFIX)), F.lit(True)).alias("_all")
     ).scalar()
-    return F.when(all_prefixed, ids).otherwise(padded)
+    return F.when(decided, ids).otherwise(padded)
 
 
-def lookup_customer_sk(fact: DataFrame, dim_current: DataFrame) -> DataFrame:
+def padded_id(customer: str, per_row: bool, all_prefixed: bool) -> str:
+    """``customer_key_prefixed`` of one stripped id."""
+    keep = customer.startswith(CUSTOMER_PREFIX) if per_row else all_prefixed
+    return customer if keep else CUSTOMER_PREFIX + customer.zfill(CUSTOMER_ID_WIDTH)
+
+
+def lookup_customer_sk(fact: DataFrame, dim_current: DataFrame, hot: dict[str, int] | None = None) -> DataFrame:
     """Left join on the padded customer id. No broadcast hint: the dimension grows
-    with the data; AQE broadcasts it only when its real size is small and splits hot
-    fact keys otherwise."""
+    with the data; AQE broadcasts it only when its real size is small. ``hot`` names the
+    padded ids whose rows are spread over several tasks (``operators.skew``)."""
     d = dim_current.select(strip_ws("customer_key").alias("_cust_key"), F.col("customer_sk"))
-    return fact.join(d, fact["sls_cust_id"] == d["_cust_key"], "left").drop("_cust_key")
+    return salted_left_join(fact, "sls_cust_id", d, "_cust_key", hot)
 
 
 def short_product_key(c: Column | str) -> Column:
@@ -60,11 +71,15 @@ def short_product_key(c: Column | str) -> Column:
     return tail_tokens(strip_ws(c), "-", 2)
 
 
-def lookup_product_sk(fact: DataFrame, dim_current: DataFrame, one_version: str | None = None) -> DataFrame:
+def lookup_product_sk(
+    fact: DataFrame, dim_current: DataFrame, one_version: str | None = None, hot: dict[str, int] | None = None
+) -> DataFrame:
     """Left join on the shortened product key. Several current versions can share a
     short key (versions are keyed by product id), so the join fans out, as in the
     reference; ``one_version='latest_start'`` keeps only the version with the latest
-    start date per short key."""
+    start date per short key, ``'as_of'`` the one that was valid on the sale's order date."""
+    if one_version == "as_of":
+        return lookup_product_as_of(fact, dim_current, parse_yyyymmdd("sls_order_dt"))
     d = dim_current.select(
         short_product_key("product_key").alias("_prd_key"), F.col("product_sk"), F.col("start_date"), F.col("product_id")
     )
@@ -72,7 +87,16 @@ def lookup_product_sk(fact: DataFrame, dim_current: DataFrame, one_version: str
         d = keep_last_by(d, ["_prd_key"], nulls_lose("start_date") + [F.col("product_id")])
     d = d.select("_prd_key", "product_sk")
     f = fact.withColumn("sls_prd_key", strip_ws("sls_prd_key"))
-    return f.join(d, f["sls_prd_key"] == d["_prd_key"], "left").drop("_prd_key")
+    return salted_left_join(f, "sls_prd_key", d, "_prd_key", hot)
+
+
+def lookup_product_as_of(fact: DataFrame, dim_current: DataFrame, at: Column) -> DataFrame:
+    """One row per sale: the version of its short product key whose validity interval holds ``at``,
+    the latest one that has started (an interval ends where the next begins). A sale before its
+    product's first version, or without a readable date, has none."""
+    f = fact.withColumn("sls_prd_key", strip_ws("sls_prd_key"))
+    versions = dim_current.select(short_product_key("product_key").alias("_prd_key"), "start_date", "product_id", "product_sk")
+    return as_of(f, F.col("sls_prd_key"), at, versions, F.col("_prd_key"), F.col("start_date"), F.col("product_id"), "product_sk")
 
 
 def lookup_date_sks(fact: DataFrame, dim_date: DataFrame, null_safe: bool = False) -> DataFrame:
@@ -114,13 +138,17 @@ def build_fact_sales(
     one_version: str | None = None,
     start: Column | int = 0,
     with_keys: bool = True,
+    profile: SalesProfile | None = None,
 ) -> DataFrame:
-    """fact_sales rows: lookups against the *current* dimension versions."""
-    s = sales.withColumn("sls_cust_id", customer_key_prefixed(sales, per_row))
+    """fact_sales rows: lookups against the *current* dimension versions. ``profile`` (see
+    ``operators.skew``) spares the pass that decides on the prefix and spreads hot keys."""
+    decided = profile.all_prefixed if profile is not None else None
+    s = sales.withColumn("sls_cust_id", customer_key_prefixed(sales, per_row, decided))
+    hot_customers = {padded_id(k, per_row, decided): n for k, n in profile.hot_customers.items()} if profile else None
     cust = dim_customer.where(F.col("current_flag") == "Y")
     prod = dim_product.where(F.col("current_flag") == "Y")
-    f = lookup_customer_sk(s, cust)
-    f = lookup_product_sk(f, prod, one_version)
+    f = lookup_customer_sk(s, cust, hot_customers)
+    f = lookup_product_sk(f, prod, one_version, profile.hot_products if profile else None)
     f = lookup_date_sks(f, dim_date, null_safe)
     out = f.select(*FACT_COLUMNS).withColumn("created_date", lit_date(processing_date))
     if not with_keys:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import clamp_future, parse_iso_date, parse_yyyymmdd
 from starloom.functions.text import head_tokens, std_upper, strip_ws
-from starloom.operators import audit, conform, facts, incremental, scd2
+from starloom.operators import audit, conform, facts, incremental, scd2, skew
 from starloom.operators.keys import assign_dense_keys, key_number, next_key_start
 from starloom.plans.batch import BatchOptions, StoppedBeforeCommit, read_warehouse, run_batch, run_csv_batch
 from starloom.plans.context import FEED_NAMES, Scenario, loaded_warehouse
@@ -311,6 +311,37 @@ def _lk_product_one(s: Scenario) -> DataFrame:
     )
 
 
+@query("lookup_product_sk_as_of")
+def _lk_product_as_of(s: Scenario) -> DataFrame:
+    """J7 as of the sale: the product version that was valid ten years after the order date (the
+    versions of the product feed start where its sales end)."""
+    cur = scd2.current_members(s.product_snapshot_full)
+    at = F.add_months(parse_yyyymmdd("sls_order_dt"), 120)
+    return facts.lookup_product_as_of(s.feed("sales_details", 2), cur, at).select(
+        "sls_ord_num", "sls_prd_key", "sls_order_dt", "sls_ship_dt", "sls_sales", "product_sk"
+    )
+
+
+@query("sales_profile")
+def _sales_profile(s: Scenario) -> DataFrame:
+    """J6/J7 skew: the one-pass profile of all sales: rows, prefix decision, latest order date."""
+    found = skew.profile_sales(s.feed("sales_details", 2), facts.CUSTOMER_PREFIX)
+    row = (found.n_rows, found.all_prefixed, found.latest_order)
+    return s.spark.createDataFrame([row], "n_rows long, all_prefixed boolean, latest_order date")
+
+
+@query("lookup_customer_sk_salted")
+def _lk_customer_salted(s: Scenario) -> DataFrame:
+    """J6 with its most frequent ids salted: the same rows as the plain lookup."""
+    cur = scd2.current_members(s.customer_snapshot_full)
+    sales = _sales_prefixed(s)
+    found = sales.agg(skew.hot_key_sketch(F.col("sls_cust_id")).alias("x")).collect()[0].x
+    hot = {r["item"]: 3 for r in found}
+    return facts.lookup_customer_sk(sales, cur, hot).select(
+        "sls_ord_num", "sls_cust_id", "sls_ship_dt", "sls_sales", "customer_sk"
+    )
+
+
 @query("lookup_date_sks")
 def _lk_dates(s: Scenario) -> DataFrame:
     """Three role-playing lookups, plain equality."""

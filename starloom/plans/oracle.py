@@ -389,6 +389,15 @@ def _plain_sales(src: str) -> str:
 SALES_NOT_LOADED = f"({_plain_sales('crm_sales_b2')} EXCEPT ALL {_plain_sales('crm_sales_b1')})"
 
 
+def _balance(fact: str, sales: str, version: int, day: str) -> str:
+    """Audit rows of a fact load: sales in, fan-out, and lookups without a key."""
+    n_in = f"(SELECT count(*) FROM {sales})"
+    counts = {"in": f"count(*) * 0 + {n_in}", "fan_out": f"count(*) - {n_in}", "filtered": "count(*) * 0"}
+    for name in ("customer", "product", "order_date", "ship_date", "due_date"):
+        counts[f"unmatched_{name}"] = f"count(*) FILTER (WHERE {name}_sk IS NULL)"
+    return " UNION ALL ".join(f"SELECT 'fact_sales', '{stage}', (SELECT {n} FROM {fact}), {version}, {day}" for stage, n in counts.items())
+
+
 def prelude() -> str:
     ctes = oracle_feeds.feed_ctes() + warehouse_ctes()
     return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes) + "\n"
@@ -489,6 +498,11 @@ FINAL: dict[str, str] = {
     "lookup_customer_sk": f"""
     SELECT s.sls_ord_num, s.sls_cust_id, s.sls_ship_dt, s.sls_sales, c.customer_sk
     FROM sales_padded s
+    LEFT JOIN (SELECT {ws('customer_key')} AS k, customer_sk FROM cust_full WHERE current_flag = 'Y') c
+      ON s.sls_cust_id = c.k""",
+    "lookup_customer_sk_salted": f"""
+    SELECT s.sls_ord_num, s.sls_cust_id, s.sls_ship_dt, s.sls_sales, c.customer_sk
+    FROM sales_padded s
     LEFT JOIN (SELECT {ws('customer_key')} AS k, customer_sk FROM cust_full WHERE current_flag = 'Y') c
       ON s.sls_cust_id = c.k""",
     "lookup_product_sk": f"""
@@ -496,6 +510,15 @@ FINAL: dict[str, str] = {
     FROM crm_sales_b2 s
     LEFT JOIN (SELECT {short_key('product_key')} AS k, product_sk FROM prod_full WHERE current_flag = 'Y') p
       ON {ws('s.sls_prd_key')} = p.k""",
+    "lookup_product_sk_as_of": f"""
+    SELECT s.sls_ord_num, {ws('s.sls_prd_key')} AS sls_prd_key, s.sls_order_dt, s.sls_ship_dt, s.sls_sales,
+           (SELECT max_by(product_sk, (start_date, product_id)) FROM prod_full p
+            WHERE p.current_flag = 'Y' AND {short_key('p.product_key')} = {ws('s.sls_prd_key')}
+              AND p.start_date <= {ymd('s.sls_order_dt')} + INTERVAL 120 MONTH) AS product_sk
+    FROM crm_sales_b2 s""",
+    "sales_profile": f"""
+    SELECT count(*) AS n_rows, bool_and(starts_with({ws('sls_cust_id')}, 'AW')) AS all_prefixed,
+           max({ymd('sls_order_dt')}) AS latest_order FROM crm_sales_b2""",
     "lookup_product_sk_one_version": f"""
     SELECT s.sls_ord_num, {ws('s.sls_prd_key')} AS sls_prd_key, s.sls_ship_dt, s.sls_sales, p.product_sk
     FROM crm_sales_b2 s
@@ -625,7 +648,11 @@ FINAL: dict[str, str] = {
     UNION ALL SELECT 'dim_customer', 'load', count(*), 2, {D2} FROM cust_merged2
     UNION ALL SELECT 'dim_product', 'load', count(*), 2, {D2} FROM prod_merged2
     UNION ALL SELECT 'dim_date', 'load', count(*), 2, {D2} FROM new_dates2
-    UNION ALL SELECT 'fact_sales', 'load', count(*), 2, {D2} FROM fact2""",
+    UNION ALL SELECT 'fact_sales', 'load', count(*), 2, {D2} FROM fact2
+    UNION ALL """
+    + _balance("fact1", "crm_sales_b1", 1, D1)
+    + " UNION ALL "
+    + _balance("fact2", "crm_sales_b2", 2, D2),
     "dedupe_nulls_lose": f"""
     SELECT {_cols(CUST_COLS)} FROM (
       SELECT *, row_number() OVER (PARTITION BY customer_key
