@@ -45,9 +45,11 @@ def whole(piece: str) -> str:
     return piece if piece.startswith("\n") else " " + piece
 
 
-def older_half(memo: dict) -> dict:
-    """The entries that came first: what occurs often is met early."""
-    return dict(islice(memo.items(), len(memo) // 2))
+def forget_younger(memo: dict) -> None:
+    """Drop the half of the entries that came last: what occurs often is met early."""
+    kept = dict(islice(memo.items(), len(memo) // 2))
+    memo.clear()
+    memo.update(kept)
 
 
 class PieceIds:
@@ -100,7 +102,8 @@ class PieceIds:
     def pieces(self, texts: list[str]) -> list[list[str]]:
         """The pieces of each text, with the ids of all of them in the memo."""
         if self.held > self.budget:
-            self.after, self.first = older_half(self.after), older_half(self.first)
+            forget_younger(self.after)
+            forget_younger(self.first)
             self.held = sum(ENTRY_BYTES + len(k) + len(v) for memo in (self.after, self.first) for k, v in memo.items())
         cuts = [cut(t) for t in texts]
         missing: set[str] = set()
@@ -253,7 +256,7 @@ class WordIds:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if self.held > MEMO_BYTES:
-            self.memo = older_half(self.memo)
+            forget_younger(self.memo)
             self.held = sum(ENTRY_BYTES + len(k) + len(v) for k, v in self.memo.items())
         words = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
         missing: set[bytes] = set()

@@ -56,12 +56,14 @@ class Model:
 
 def features(words: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Feature buckets of distinct words, and the index of the word each belongs to."""
-    data = b"".join(b"<" + w + b">" for w in words)
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    # words have no line feed, so one call decodes them all
+    texts = b"\n".join(words).decode("utf-8", "surrogatepass").split("\n") if words else []
+    data = "".join(f"<{w}>" for w in texts)
+    lengths = np.fromiter(map(len, texts), np.int64, len(words)) + 2
     ends = np.cumsum(lengths)
     owner = np.repeat(np.arange(len(words)), lengths)
-    left = ends[owner] - np.arange(len(data))  # bytes from here to the word's end
-    letters = np.frombuffer(data, np.uint8).astype(np.uint32)
+    left = ends[owner] - np.arange(len(data))  # characters from here to the word's end
+    letters = np.frombuffer(data.encode("utf-32-le", "surrogatepass"), np.uint32)
     buckets = [np.fromiter((zlib.crc32(w) for w in words), np.uint32, len(words))]
     owners = [np.arange(len(words))]
     for n in GRAMS:

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from starloom.session import scratch_path
 
 SCALE = 64
+#: The largest norm squared, and so score, that doubles hold exactly.
+MOST = float(1 << 53)
 PIVOTS = 24
 #: Rows of the sample that pivots are chosen from.
 PIVOT_SAMPLE = 1_000
@@ -109,19 +111,25 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     ``vectors`` and ``queries`` have ``vec_id`` and ``embedding``; other columns are not
     carried. Null vectors and ids, and vectors with a null or non-finite component, take no
-    part. Vectors of another dimension than the most common take no part either (they have no
-    inner product with it). Ties go to smaller ids; repeated rows count each, among the
+    part. Vectors of different dimensions have no inner product: such tables raise, as do vectors
+    whose scores could leave 2^53, beyond which doubles are not exact. Ties go to smaller ids; repeated rows count each, among the
     candidates and among the queries: every query row gets its own ``k`` best. A query with
-    fewer candidates gets all; empty tables give no rows. Scores must stay within 2^53.
+    fewer candidates gets all; empty tables give no rows.
     """
     spark = vectors.sparkSession
     wide = integers(vectors).withColumn("dim", F.size("v"))
-    dims = wide.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    if not dims:
+    asked = integers(queries).withColumn("dim", F.size("v"))
+    rows = wide.select("vec_id", "v")
+    # floor() of a double beyond the long range saturates, so the bound is taken before it is squared
+    square = F.aggregate("v", F.lit(0.0), lambda s, e: s + e.cast("double") * e.cast("double"))
+    found = wide.unionByName(asked).agg(F.min("dim").alias("low"), F.max("dim").alias("high"), F.max(square).alias("largest")).collect()[0]
+    if found.low is None or wide.isEmpty():
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    rows = wide.where(F.col("dim") == dims[0].dim).select("vec_id", "v")
-    square = F.aggregate("v", F.lit(0.0), lambda s, e: s + e.cast("double") * e)
-    largest = float(rows.agg(F.max(square)).collect()[0][0])
+    if found.low != found.high:
+        raise ValueError(f"vectors of {found.low} to {found.high} dimensions have no common inner product")
+    if found.largest > MOST:
+        raise ValueError("scores beyond 2^53 are not exact")
+    largest = float(found.largest)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).toArrow()
     sampled = np.array(sample.column("v").to_pylist(), np.float64).reshape(sample.num_rows, -1)
     pivots = choose_pivots(lift(sampled, largest), PIVOTS)
@@ -140,7 +148,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     rows.mapInArrow(tabulate, "ids binary, vectors binary, table binary").write.option("compression", "none").parquet(path)
     stored = spark.read.parquet(path)
 
-    asked = integers(queries).where(F.size("v") == dims[0].dim).select("vec_id", "v")
+    asked = asked.select("vec_id", "v")
     asked_path = scratch_path(spark, "queries")
     # every query row has a number of its own, since ids may repeat; written, so the numbers stay
     asked = asked.withColumn("number", F.monotonically_increasing_id())

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BUCKETS = 4096
 GRAMS = (3, 4)
+#: Most labelled urls that a model is fitted on.
+MOST_EXAMPLES = 2_000
 STEPS, RATE, DECAY = 200, 0.05, 0.005
 #: Rules are part of the query's expression, so their number is bounded.
 MAX_RULES = 500
@@ -174,8 +176,12 @@ def buckets(host: Column, path: Column) -> Column:
 def coefficients(examples: DataFrame) -> DataFrame:
     """``y, g, a``: labelled urls' buckets and their fitted coefficients.
 
-    ``examples`` has ``url, label``; it is small by contract (it becomes one row).
+    ``examples`` has ``url, label``. It becomes one row and a kernel of its length squared, so a
+    table of more than ``MOST_EXAMPLES`` rows raises. A table without one of the labels gives
+    that label no support; an empty one leaves every page to the bias.
     """
+    if examples.limit(MOST_EXAMPLES + 1).count() > MOST_EXAMPLES:
+        raise ValueError(f"more than {MOST_EXAMPLES} labelled urls: the model is fitted on a small table")
     host, path = parts(F.col("url"))
     rows = examples.where(F.col("label").isin(0, 1)).select("url", F.col("label").cast("double").alias("y"), buckets(host, path).alias("g"))
     rows = rows.where(F.size("g") > 0)

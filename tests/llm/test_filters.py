@@ -4,6 +4,8 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import pytest
+
 from starloom.llm import quality_rules as qr
 from starloom.llm import url_filters as uf
 from starloom.llm.common import table
@@ -159,6 +161,18 @@ def test_regression_on_known_and_held_out_hosts(spark):
     assert [got[i] for i in range(len(held))] == [v for _, v in held]
 
 
+def test_training_tables_of_one_label_and_of_too_many_rows(spark, monkeypatch):
+    schema = "url string, label int"
+    for label in (0, 1):
+        one = spark.createDataFrame([(f"https://site{i}.org/path{i}", label) for i in range(4)], schema)
+        scores = uf.coefficients(one).collect()
+        assert {r.y for r in scores} == {float(label)} and len(scores) == 4
+    assert uf.coefficients(spark.createDataFrame([], schema)).count() == 0
+    monkeypatch.setattr(uf, "MOST_EXAMPLES", 3)
+    with pytest.raises(ValueError, match="more than 3"):
+        uf.coefficients(one)
+
+
 def test_no_python_in_the_url_plan(spark):
     plan = uf.op6_url_filters(spark, table(spark, "/root/testdata/sf0.001", "pages"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "url:string>" in plan

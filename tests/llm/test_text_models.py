@@ -85,13 +85,44 @@ def test_word_features_match_a_plain_loop():
     words = [b"a", "blé".encode(), b"garden"]
     bucket, owner = qc.features(words, 17)
     for i, w in enumerate(words):
-        padded = b"<" + w + b">"
+        padded = "<" + w.decode() + ">"
         grams = sum(max(0, len(padded) - n + 1) for n in qc.GRAMS)
         assert (owner == i).sum() == 1 + grams
     alone, _ = qc.features([b"garden"], 17)
     assert sorted(alone) == sorted(bucket[owner == 2])
 
 
+def plain_bucket(gram, bits):
+    """The bucket of a character n-gram, letter by letter."""
+    h = 0x811C9DC5 + len(gram)
+    for c in gram:
+        h = (h ^ ord(c)) * 16777619 % 2**32
+    return h * 2654435769 % 2**32 >> 32 - bits
+
+
+def test_scores_match_a_plain_loop():
+    """Word and character n-gram buckets, their mean by word, the mean over words, and softmax."""
+    rng = np.random.default_rng(9)
+    words = ["river", "ünïçode", "日本語の文", "a", "stone$"]
+    sample = [(" ".join(rng.choice(words[i % 2 :], 12)), i % 2) for i in range(60)]
+    model = qc.train(sample, qc.Settings(bits=12, epochs=2))
+    bits = len(model.scores).bit_length() - 1
+
+    def score(text):
+        total, found = 0.0, text.split()
+        for w in found:
+            buckets = [zlib.crc32(w.encode()) * 2654435769 % 2**32 >> 32 - bits]
+            padded = f"<{w}>"
+            buckets += [plain_bucket(padded[i : i + n], bits) for n in qc.GRAMS for i in range(len(padded) - n + 1)]
+            total += sum(float(model.scores[b]) for b in buckets) / len(buckets)
+        again = sum(a == b for a, b in zip(found, found[1:], strict=False))
+        z = model.bias + (total + again * model.repeat) / max(1, len(found) + again)
+        return 1 / (1 + np.exp(-z))
+
+    texts = [t for t, _ in sample[:20]] + ["", "日本語の文 日本語の文 new", "new words 🙂"]
+    assert np.allclose(qc.WordScores(model).texts(texts), [score(t) for t in texts], atol=1e-6)
+
+
 def test_classifier_query(spark, documents, labels, edge):
     rows = qc.op5_quality_classifier(spark, documents, labels).collect()
     assert len(rows) == documents.count()

@@ -67,6 +67,21 @@ def test_byte_bpe_query(spark, edge):
     assert byte_bpe.op3_byte_bpe(spark, edge.limit(0), RANKS, pt.PATTERN).count() == 0
 
 
+def test_small_memos_change_nothing(texts):
+    """Memos that forget all the time, in the ids and in packing's blocks."""
+    with open(DEFINITION, "rb") as f:
+        encode = pieces.library_encoder(f.read(), pt.PATTERN)
+    small, large, every = pieces.PieceIds(encode, 30_000), pieces.PieceIds(encode), odd_texts() + list(texts.values())[:80]
+    end = b"\0\0\0\0"
+    for k in range(0, len(every), 20):
+        part = every[k : k + 20]
+        assert small.ids(part) == large.ids(part)
+        blocks = [packing.read_block(list(range(len(part))), part, ids, end) for ids in (small, large)]
+        assert [d.ids for d in blocks[0].documents] == [d.ids for d in blocks[1].documents]
+        assert (blocks[0].at == blocks[1].at).all()
+    assert len(small.after) < len(large.after)
+
+
 @pytest.mark.parametrize("path", [DEFINITION, WORDS])
 def test_pieces_match_the_library(path, texts):
     with open(path, "rb") as f:
