@@ -26,6 +26,7 @@ shares ``min(l1, l2)`` shingles of the prefixes of that length.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import Memo, worker_state
+from starloom.llm.common import worker_state
 from starloom.llm.components import components
 from starloom.session import scratch_path
 
@@ -54,19 +55,66 @@ CHECK_COST = 2
 SET_SCHEMA = "n_shingles long, set_hi long, set_lo long, l int, rare long, bits array<long>, tokens array<long>"
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word)
+class WordHashes:
+    """Hashes of the words of a text, without making the words.
 
+    A word's bytes b0, b1, ... hash to the sum of T[bi] * P^i in 64 bits, T a table of random
+    numbers that is equal for A-Z and a-z, P odd. Sums over all bytes of a text then hold every
+    word's, shifted by the power of its place, which the inverse of P takes back.
+    """
 
-def shingles(text: str, memo: Memo) -> np.ndarray:
+    P = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.table = np.random.default_rng(5).integers(0, 1 << 64, 256, np.uint64)
+        self.table[65:91] = self.table[97:123]
+        self.blank = np.zeros(256, bool)
+        self.blank[[32, *range(9, 14)]] = True
+        self.powers = self.inverse = np.ones(1, np.uint64)
+
+    def of(self, data: bytes) -> np.ndarray:
+        """One hash per word of UTF-8 ``data``; about a million bytes are looked at together."""
+        parts, begin = [], 0
+        while begin < len(data):
+            end = begin + BYTES
+            if end < len(data):  # up to the next blank
+                found = WORD_END.search(data, end)
+                end = found.start() if found else len(data)
+            parts.append(self._part(np.frombuffer(data, np.uint8, min(end, len(data)) - begin, begin)))
+            begin = end
+        return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
+    def _part(self, data: np.ndarray) -> np.ndarray:
+        n = len(data)
+        if n > len(self.powers):
+            size = max(n, 1 << 16)
+            for name, factor in (("powers", self.P), ("inverse", pow(self.P, -1, 1 << 64))):
+                steps = np.full(size, factor, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps))
+        blank = self.blank[data]
+        edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+        starts, ends = edges[::2], edges[1::2]  # where words begin, and the blanks after them
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.table[data] * self.powers[:n], out=sums[1:])
+        h = (sums[ends] - sums[starts]) * self.inverse[starts]
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return h ^ (h >> np.uint64(29))
+
+
+#: Bytes whose words are hashed together, and where a word ends.
+BYTES = 1_000_000
+WORD_END = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def shingles(text: str, hashes: WordHashes) -> np.ndarray:
     """Distinct 64-bit shingle hashes of a text, ascending; none without words. Fewer words
     than five make one shingle."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII spaces
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-    width = min(WORDS, len(words))
-    n = len(words) - width + 1
+    h = hashes.of(text.encode("utf-8", "surrogatepass"))
+    if not len(h):
+        return h
+    width = min(WORDS, len(h))
+    n = len(h) - width + 1
     out = np.full(n, width, np.uint64)
     for k in range(width):
         out = (out ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
@@ -86,10 +134,8 @@ def digest(found: np.ndarray) -> list[int]:
     return np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), "<i8").tolist()
 
 
-def hasher() -> Memo:
-    memo = worker_state("shingle_words", lambda: Memo(word_hash))
-    memo.trim()
-    return memo
+def hasher() -> WordHashes:
+    return worker_state("shingle_words", WordHashes)
 
 
 def needed(n):
@@ -128,10 +174,10 @@ def _sets(documents: DataFrame, frequent: tuple[np.ndarray, np.ndarray] | None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            memo = hasher()
+            hashes = hasher()
             rows = []
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                found = shingles(text.as_py() or "", memo)
+                found = shingles(text.as_py() or "", hashes)
                 hi, lo = digest(found)
                 if shared.value is None:
                     if not len(found):
@@ -181,20 +227,20 @@ def _stored(frame: DataFrame, name: str) -> DataFrame:
 @F.arrow_udf(T.ArrayType(T.LongType()))
 def set_key(texts: pa.Array) -> pa.Array:
     """``[set_hi, set_lo]`` of the texts."""
-    memo = hasher()
-    return pa.array([digest(shingles(text.as_py() or "", memo)) for text in texts], pa.list_(pa.int64()))
+    hashes = hasher()
+    return pa.array([digest(shingles(text.as_py() or "", hashes)) for text in texts], pa.list_(pa.int64()))
 
 
 @F.arrow_udf(T.BooleanType())
 def similar(left: pa.Array, right: pa.Array) -> pa.Array:
     """Whether 100 * intersection >= 80 * union of the shingle sets of two texts."""
-    memo, recent, out = hasher(), {}, []
+    hashes, recent, out = hasher(), {}, []
 
     def found(text: str) -> np.ndarray:
         if text not in recent:
             if len(recent) >= 32:
                 recent.clear()
-            recent[text] = shingles(text, memo)
+            recent[text] = shingles(text, hashes)
         return recent[text]
 
     for a, b in zip(left, right, strict=True):

@@ -20,7 +20,6 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ BLOCK_BYTES = 2_000_000
 SENTENCE_PENALTY = 1.0
 GRID_PENALTY = 50.0
 #: Distance of the grid cuts inside a sentence; shorter sentences than 1.5 of it have none.
-GRID = 16
+GRID = 32
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -78,9 +77,8 @@ def read_block(doc_ids: list, texts: list[str], ids: PieceIds, end: bytes) -> Bl
     """The documents' ids, ``end`` after each, and their cut places: document ends, ends of
     sentences and lines, and a grid inside longer sentences."""
     documents, lengths, ends = [], [], []
-    get = ids.after.__getitem__
-    for doc_id, text, pieces in zip(doc_ids, texts, ids.pieces(texts), strict=True):
-        parts = [ids.first[pieces[0]], *map(get, islice(pieces, 1, None)), end]
+    for doc_id, text, pieces, parts in zip(doc_ids, texts, *ids.parts(texts), strict=True):
+        parts.append(end)
         whole = b"".join(parts)
         documents.append(Document(doc_id, 0, len(whole) // 4, whole))
         lengths.append(np.fromiter(map(len, parts), np.int64, len(parts)))

@@ -66,7 +66,7 @@ class PieceIds:
         self.held = 0
         self.after: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
-        #: the pieces but the first ones that the last call of ``pieces`` learned
+        #: the pieces but the first ones that the last call of ``parts`` learned
         self.learned: set[str] = set()
 
     def _fill(self, memo: dict, missing: list[str], full: Callable[[str], str]) -> None:
@@ -99,16 +99,26 @@ class PieceIds:
                 single.append(p)
         return single, made, bodies, bare
 
-    def pieces(self, texts: list[str]) -> list[list[str]]:
-        """The pieces of each text, with the ids of all of them in the memo."""
+    def parts(self, texts: list[str]) -> tuple[list[list[str]], list[list[bytes]]]:
+        """The pieces of each text and the ids of each piece.
+
+        Every piece is looked up once; only those that were not there are looked up again.
+        """
         if self.held > self.budget:
             forget_younger(self.after)
             forget_younger(self.first)
             self.held = sum(ENTRY_BYTES + len(k) + len(v) for memo in (self.after, self.first) for k, v in memo.items())
         cuts = [cut(t) for t in texts]
+        get = self.after.get
+        found = [list(map(get, c)) for c in cuts]
         missing: set[str] = set()
-        for c in cuts:
-            missing.update(filterfalse(self.after.__contains__, islice(c, 1, None)))
+        holes = []
+        for c, ids in zip(cuts, found, strict=True):
+            ids[0] = b""  # a text's first piece has a memo of its own
+            if None in ids:
+                at = [k for k, x in enumerate(ids) if x is None]
+                holes.append((c, ids, at))
+                missing.update([c[k] for k in at])
         single, made, bodies, bare = self._split(missing)
         self.learned = missing | bodies
         bare.update(c[0] for c in cuts)
@@ -119,11 +129,15 @@ class PieceIds:
             head = first["\n"] + first[body[1:]] if body[0] == "\n" else after[body]
             after[p] = head + first[tail] if tail else head
             self.held += ENTRY_BYTES + len(p) + len(after[p])
-        return cuts
+        for c, ids, at in holes:
+            for k in at:
+                ids[k] = after[c[k]]
+        for c, ids in zip(cuts, found, strict=True):
+            ids[0] = first[c[0]]
+        return cuts, found
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        get = self.after.__getitem__
-        return [self.first[c[0]] + b"".join(map(get, islice(c, 1, None))) for c in self.pieces(texts)]
+        return [b"".join(ids) for ids in self.parts(texts)[1]]
 
 
 def byte_of_letter() -> dict[str, int]:

@@ -246,16 +246,15 @@ class Aligner:
         n = len(texts)
         spaced = [" " + t if t else "" for t in texts]
         asked = [k for k, s in enumerate(spaced) if s]
-        cuts = self.a.pieces([spaced[k] for k in asked])
+        cuts, ids = self.a.parts([spaced[k] for k in asked])
         if self.a.held < self.held:  # it went back to the frequent pieces
             self.b.forget(self.a.after)
         self.held = self.a.held
         found_b = self.b.ids([spaced[k] for k in asked], cuts, self.a.learned)
-        get = self.a.after.__getitem__
         parts_a, parts_b = [b""] * n, [b""] * n
-        for k, c, b in zip(asked, cuts, found_b, strict=True):
+        for k, a, b in zip(asked, ids, found_b, strict=True):
             if b is not None:
-                parts_a[k], parts_b[k] = self.a.first[c[0]] + b"".join(map(get, islice(c, 1, None))), b
+                parts_a[k], parts_b[k] = b"".join(a), b
         n_a, n_b = (np.array([len(x) // 4 for x in parts], np.int64) for parts in (parts_a, parts_b))
         ids_a, ids_b = (np.frombuffer(b"".join(parts), "<u4").astype(np.int64) for parts in (parts_a, parts_b))
         doc_a, doc_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)

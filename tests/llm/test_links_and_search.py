@@ -114,6 +114,21 @@ def test_prefixes_keep_the_promise():
         assert len(np.intersect1d(pa[:ka], pb[:kb])) >= l
 
 
+def test_word_hashes_are_those_of_the_words(monkeypatch):
+    """One hash per word wherever it stands, A-Z as a-z, another word another hash."""
+    rng, hashes, seen = random.Random(6), jj.WordHashes(), {}
+    texts = ["", " ", "a", "A b\tB\x0bc", "é É", "x" * 5000 + " y", "\u00a0 one\u2003word"]
+    texts += ["".join(rng.choice("abAB é\n\r\x0c ") for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    for size in (1_000_000, 7):
+        monkeypatch.setattr(jj, "BYTES", size)
+        for t in texts:
+            words, found = t.encode().lower().split(), hashes.of(t.encode())
+            assert len(found) == len(words)
+            for w, h in zip(words, found.tolist(), strict=True):
+                assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen) > 500
+
+
 def test_edge_rows(spark, edge):
     got = jj.op7_jaccard_join(spark, edge).collect()
     assert len(got) == 10
