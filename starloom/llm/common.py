@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 MEMO_ENTRIES = 600_000
 #: Bytes that the memo of one tokenizer's pieces may hold, and what an entry takes beside its
 #: characters and ids (the dictionary's slot and two object headers).
-MEMO_BYTES = 112_000_000
+MEMO_BYTES = 180_000_000
 ENTRY_BYTES = 200
 
 

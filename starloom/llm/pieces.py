@@ -76,29 +76,6 @@ class PieceIds:
             memo.update(zip(part, found, strict=True))
             self.held += sum(map(len, part)) + sum(map(len, found)) + ENTRY_BYTES * len(part)
 
-    def _split(self, missing: set[str]) -> tuple[list[str], list[tuple[str, str, str]], set[str], set[str]]:
-        """Missing pieces to encode whole; those made of a line feed or a body, and marks."""
-        single, made, bodies, bare = [], [], set(), {"\n"}
-        for p in missing:
-            body = p.rstrip(MARKS) if p[-1:] in ENDS else p
-            tail = p[len(body) :]
-            if not body or not body[-1].isalnum():
-                single.append(p)
-            elif body[0] == "\n":
-                if body[1].isspace():
-                    single.append(p)
-                else:
-                    made.append((p, body, tail))
-                    bare.add(body[1:])
-                    bare.add(tail)
-            elif tail:
-                made.append((p, body, tail))
-                bodies.add(body)
-                bare.add(tail)
-            else:
-                single.append(p)
-        return single, made, bodies, bare
-
     def parts(self, texts: list[str]) -> tuple[list[list[str]], list[list[bytes]]]:
         """The pieces of each text and the ids of each piece.
 
@@ -119,16 +96,10 @@ class PieceIds:
                 at = [k for k, x in enumerate(ids) if x is None]
                 holes.append((c, ids, at))
                 missing.update([c[k] for k in at])
-        single, made, bodies, bare = self._split(missing)
-        self.learned = missing | bodies
-        bare.update(c[0] for c in cuts)
-        self._fill(self.first, list(bare.difference(self.first)), str)
-        self._fill(self.after, list(bodies.difference(self.after).union(single)), whole)
+        self.learned = missing
+        self._fill(self.first, list({c[0] for c in cuts}.difference(self.first)), str)
+        self._fill(self.after, list(missing), whole)
         after, first = self.after, self.first
-        for p, body, tail in made:
-            head = first["\n"] + first[body[1:]] if body[0] == "\n" else after[body]
-            after[p] = head + first[tail] if tail else head
-            self.held += ENTRY_BYTES + len(p) + len(after[p])
         for c, ids, at in holes:
             for k in at:
                 ids[k] = after[c[k]]
