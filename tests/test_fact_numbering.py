@@ -9,7 +9,8 @@ from starloom.operators import audit, facts, keys
 from starloom.operators.facts import lookup_product_sk
 from starloom.plans.batch import read_warehouse, run_batch
 from starloom.plans.context import FEED_NAMES, Scenario
-from starloom.sources import derived, tables
+from starloom.sources import derived, ledger, schemas, tables
+from starloom.streaming import feed_stream
 from tests.paths import SMALL
 
 DIM = "product_key string, product_sk string, start_date date, product_id long"
@@ -107,3 +108,40 @@ def test_landed_feed_is_not_landed_again(spark, tmp_path, monkeypatch):
     fact = read_warehouse(spark, wh)["fact_sales"]
     assert fact.count() == fact.select("sales_sk").distinct().count() > 0
     assert [r[0] for r in fact.select("created_date").distinct().collect()] == [dt.date(2002, 1, 1)]
+
+
+def test_ledger_compares_sales_in_one_move(spark):
+    """Equal, null and loaded sales; the feed's rows are shuffled once, by their digest."""
+    rows = [("SO1", " FR-1", "7", 20020101, 20020102, 20020103, 1.0, 1, 1.0)] * 3
+    rows += [("SO2", None, None, 0, None, 20020103, None, 2, -0.0), ("SO3", "FR-1", "8", 20020105, 0, 0, 2.0, None, float("nan"))]
+    feed = spark.createDataFrame(rows, schemas.CRM_SALES)
+    keyed = ledger.with_ledger_keys(feed)
+    held = keyed.where("sls_ord_num <> 'SO2'").dropDuplicates(["d1", "d2"]).select("d1", "d2", F.lit(1).alias("copies"))
+    fresh = ledger.not_loaded(keyed, held)
+    assert set(fresh.columns) == {*keyed.columns, "copies"}
+    got = {r.sls_ord_num: r for r in fresh.collect()}
+    assert {k: r.copies for k, r in got.items()} == {"SO1": 2, "SO2": 1}
+    assert got["SO1"].sls_prd_key == "FR-1" and got["SO1"].order_month == 200201 and got["SO1"].order_day == dt.date(2002, 1, 1)
+    assert got["SO2"].sls_prd_key is None and got["SO2"].order_day is None and got["SO2"].order_month == 0
+    moved = [x for x in fresh._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+    assert moved and not any("sls_ord_num" in x.split("ENSURE")[0] for x in moved)
+
+
+def test_stream_does_not_land_dropped_files_again(spark, tmp_path, monkeypatch):
+    s = Scenario(spark, SMALL)
+    monkeypatch.setattr(tables, "land_feeds", lambda *a: 1 / 0)
+    feed_stream.drop_feeds({n: s.feed(n, 1) for n in FEED_NAMES}, f"{tmp_path}/in", derived.BATCH1_DATE)
+    feed_stream.run_stream(spark, f"{tmp_path}/in", f"{tmp_path}/wh", f"{tmp_path}/ck")
+    plain = str(tmp_path / "plain")
+    run_batch(spark, {n: s.feed(n, 1) for n in FEED_NAMES}, plain, derived.BATCH1_DATE, landed=True)
+    streamed, batch = (read_warehouse(spark, w)["fact_sales"] for w in (f"{tmp_path}/wh", plain))
+    assert streamed.count() == batch.count() > 0 and streamed.exceptAll(batch).count() == 0
+
+
+def test_staged_as_of_pieces_are_packed(spark):
+    Scenario(spark, SMALL)
+    from starloom.plans import catalog
+
+    df = catalog.REGISTRY["lookup_product_sk_as_of"](spark, SMALL)
+    files = [f for f in df.inputFiles() if "/as-of-" in f]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
