@@ -182,8 +182,9 @@ def assign_expanded_keys(
         offsets.append(acc)
         acc += counts.get(run, 0)
     base = _scalar_value(spark, start)
-    # run i is partition i; a fixed number of partitions is never merged
-    rows = expand(placed.repartitionById(runs, F.col(_PART))).sortWithinPartitions(*order)
+    # run i is partition i; a fixed number of partitions is never merged. A lone run
+    # has an empty partition beside it: no plan gathers rows in a single partition
+    rows = expand(placed.repartitionById(max(runs, 2), F.col(_PART))).sortWithinPartitions(*order)
     rows = rows.withColumn(_POS, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     number = F.lit(base).cast("long") + _offset(offsets, F.col(_PART)) + F.col(_POS) + 1
     return rows.withColumn(key_col, _key(number, prefix)).drop(_PART, _POS)

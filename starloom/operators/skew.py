@@ -22,6 +22,8 @@ from starloom.functions.text import strip_ws
 MOST_KEYS, TRACKED = 64, 16_384
 #: A key is hot when it holds this many times an average task's rows; no key gets more salts.
 HOT, MOST_SALTS = 0.5, 1_024
+#: Salts per average task's rows: they are dealt by hash, and few large ones fall unevenly.
+SALTS = 16
 _SALT = "_salt"
 
 
@@ -43,7 +45,7 @@ def hot_key_sketch(key: Column) -> Column:
 def salts_of(found: list, n_rows: int, tasks: int) -> dict[str, int]:
     """Salts of the keys that hold more than ``HOT`` times the rows of an average task."""
     share = max(n_rows / max(tasks, 1), 1.0)
-    return {r["item"]: min(MOST_SALTS, 1 + int(4 * r["count"] / share)) for r in found or [] if r["item"] is not None and r["count"] > HOT * share}
+    return {r["item"]: min(MOST_SALTS, 1 + int(SALTS * r["count"] / share)) for r in found or [] if r["item"] is not None and r["count"] > HOT * share}
 
 
 def profile_sales(sales: DataFrame, prefix: str) -> SalesProfile:
