@@ -80,6 +80,41 @@ def test_expanded_rows_are_neither_staged_nor_shuffled(spark):
     assert "Generate" not in "\n".join(lines[exchange:])
 
 
+def test_runs_of_the_feed_are_staged_as_they_are_numbered(spark, monkeypatch):
+    """With the feed's order numbers: the same keys, and no move after the lookups."""
+    monkeypatch.setattr(keys, "LEAST_RUN_ROWS", 50)
+    orders = [None if i % 13 == 0 else "é" if i % 17 == 0 else f"SO{i * 37 % 211}" for i in range(1200)]
+    packed = fact_rows(spark, orders)
+    expected = numbered(keys.assign_dense_keys(facts.unpacked(packed), facts.fact_order(), "sales_sk", "SALES", 40))
+    tables_before = spark.catalog.listTables()
+    got = facts.number_facts(packed, 40, packed)
+    assert numbered(got) == expected
+    assert got.rdd.getNumPartitions() > 3
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert spark.catalog.listTables() == tables_before
+    # too few runs for what the rows stand for, and no rows at all
+    monkeypatch.setattr(keys, "MOST_RUN_ROWS", 30)
+    assert numbered(facts.number_facts(packed, 40, packed)) == expected
+    assert numbered(facts.number_facts(packed.limit(0), 0, packed.limit(0))) == []
+
+
+def test_keys_move_as_numbers(spark):
+    """Keys that are no prefix and number stay what they are; the others are integers."""
+    odd = ["CUST1", "CUST01", "X", "", None, "CUST99999999999", "CUST-5", "CUST", "DATE1", "CUST 1", "CUSTCUST1"]
+    lists = [["PROD1", None], ["PROD2", "B"], [], None, [None], ["PROD-0"], ["PROD3"], ["PROD03"], [""], ["PROD 1"], ["PROD99999999999"]]
+    rows = [("SO1", c, p, "DATE1", d, None, 1, 1.0, 1.0) for c, d, p in zip(odd, reversed(odd), lists, strict=True)]
+    packed = fact_rows(spark, []).drop("created_date")
+    packed = spark.createDataFrame(rows, packed.schema)
+    moved = facts.keys_as_numbers(packed)
+    kinds = dict(moved.dtypes)
+    assert kinds["customer_sk"] == kinds["due_date_sk"] == "int" and kinds[facts.PRODUCTS] == "array<int>"
+    back = facts.keys_as_text(moved)
+    assert back.schema.simpleString() == packed.schema.simpleString()
+    assert rows_of(back) == rows_of(packed)
+    plain = facts.keys_as_numbers(fact_rows(spark, ["SO1"] * 20))
+    assert plain.where(F.col(facts._TEXTS).isNotNull()).count() == 0
+
+
 def test_packed_rows_are_counted_as_what_they_stand_for(spark):
     packed = fact_rows(spark, [f"SO{i}" for i in range(100)])
     counts = []
