@@ -317,9 +317,8 @@ def _lk_product_as_of(s: Scenario) -> DataFrame:
     versions of the product feed start where its sales end)."""
     cur = scd2.current_members(s.product_snapshot_full)
     at = F.add_months(parse_yyyymmdd("sls_order_dt"), 120)
-    return facts.lookup_product_as_of(s.feed("sales_details", 2), cur, at).select(
-        "sls_ord_num", "sls_prd_key", "sls_order_dt", "sls_ship_dt", "sls_sales", "product_sk"
-    )
+    sales = s.feed("sales_details", 2).select("sls_ord_num", "sls_prd_key", "sls_order_dt", "sls_ship_dt", "sls_sales")
+    return facts.lookup_product_as_of(sales, cur, at)
 
 
 @query("sales_profile")

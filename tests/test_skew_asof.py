@@ -7,8 +7,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import facts, skew
+from starloom.operators import asof, facts, skew
 from starloom.operators.asof import as_of
+from starloom.session import write_staged
 from starloom.sources import schemas
 
 
@@ -83,3 +84,22 @@ def test_as_of_plan_has_no_pairwise_join(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert got.collect()[0].v == "v"
+
+
+def test_as_of_pieces_move_once(spark, monkeypatch):
+    """The events are shuffled once before they are staged, and a hot key spans several ranges."""
+    staged = []
+
+    def recorded(df, path):
+        staged.append((df._jdf.queryExecution().executedPlan().toString(), write_staged(df, path)))
+        return staged[-1][1]
+
+    monkeypatch.setattr(asof, "write_staged", recorded)
+    left = spark.range(4000).select(F.lit("hot").alias("k"), F.lit(dt.date(2020, 1, 2)).alias("t"), "id")
+    right = spark.createDataFrame([("hot", dt.date(2020, 1, 1), 1, "v")], "vk string, since date, tie int, v string")
+    got = as_of(left, F.col("k"), F.col("t"), right, F.col("vk"), F.col("since"), F.col("tie"), "v")
+    assert got.where("v = 'v'").count() == 4000
+    plan, events = staged[0]
+    assert plan.split("Initial Plan")[-1].count("Exchange ") == 1
+    sizes = [r["count"] for r in events.groupBy("_asof_p").count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 2000
