@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from starloom import session
 from starloom.operators import audit, facts, keys
 from starloom.operators.facts import lookup_product_sk
 from starloom.plans.batch import read_warehouse, run_batch
@@ -180,3 +181,36 @@ def test_staged_as_of_pieces_are_packed(spark):
     df = catalog.REGISTRY["lookup_product_sk_as_of"](spark, SMALL)
     files = [f for f in df.inputFiles() if "/as-of-" in f]
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_every_run_has_a_task_of_its_own(spark, monkeypatch):
+    """Runs do not share buckets: no task has the rows of several while others have none."""
+    monkeypatch.setattr(keys, "LEAST_RUN_ROWS", 50)
+    packed = fact_rows(spark, [f"SO{1000 + i}" for i in range(4000)])
+    got = facts.number_facts(packed, 0, packed)
+    sizes = sorted(got.rdd.glom().map(len).collect())
+    assert len(sizes) == 8 and sum(sizes) == facts.unpacked(packed).count()
+    assert sizes[-1] < 2 * sizes[0]
+    for buckets in (1, 7, 90):
+        values = spark.createDataFrame([(v,) for v in session.spread_values(spark, buckets)], "v int")
+        assert [r[0] for r in values.select(F.pmod(F.hash("v"), F.lit(buckets))).collect()] == list(range(buckets))
+
+
+def test_shared_starts_of_runs():
+    assert keys._shared_starts(["SO1", "SO399", "SO40", "SO41", "T"]) == [2, 2, 3, 0]
+    assert keys._shared_starts(["", "SO1"]) == [0]
+    assert keys._shared_starts(["SO\u00e91", "SO\u00e92"]) == [2]
+
+
+def test_count_keys_counts_every_key_once(spark):
+    """Repeated, missing, negative and odd keys, and numbers far apart: as a plain count, and
+    without moving the keys."""
+    some = ["SALES1", "SALES1", None, "SALES01", "SALES0", "SALES-7", "X", "X", "", "SALES32768", "SALES32769", "SALES9999999999", "SALES99999999999999999999"]
+    for texts in (some, [None], [], ["X"]):
+        rows = spark.createDataFrame([(t,) for t in texts], "k string")
+        plain = rows.agg(F.count("*"), F.count_distinct("k"), F.max(keys.key_number("k", "SALES"))).collect()[0]
+        assert tuple(keys.count_keys(rows, "k", "SALES").collect()[0]) == tuple(plain), texts
+    many = spark.range(1, 100_001).select(F.concat(F.lit("SALES"), "id").alias("k"))
+    counted = keys.count_keys(many, "k", "SALES")
+    assert tuple(counted.collect()[0]) == (100_000, 100_000, 100_000)
+    assert "distinct" not in counted._jdf.queryExecution().executedPlan().toString().lower()
