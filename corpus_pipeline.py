@@ -7,28 +7,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import jaccard_join, packing, quality_rules, toxicity
-from starloom.llm.common import table
+from starloom.llm.common import small_batches, table
 from starloom.session import scratch_path
 
+#: What a worker remembers of tokenized pieces, beside what the stages before have left in memory.
+MEMO_BYTES = 90_000_000
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5; the model learns from the labels of ``docs``."""
+    small_batches(spark)
     return toxicity.accepted(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and their group's adaptive fences."""
+    small_batches(spark)
     return quality_rules.accepted(docs)
 
 
 def dedupe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each component of near copies."""
+    small_batches(spark)
     return jaccard_join.one_per_group(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of sequences of at most 1024 ids."""
-    return packing.op8_packing(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    small_batches(spark)
+    return packing.op8_packing(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, MEMO_BYTES)
 
 
 STAGES = [

@@ -24,6 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows that go to a Python worker together in the pipeline.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on rows go to Python workers BATCH_ROWS at a time, unless the session has a number of
+    its own: the JVM and the worker each hold a batch of whole texts (of pairs, both), and where
+    stages share executors this comes on top of what the stages before have left there."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def crc32_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id written as text, modulo ``folds`` (null id: null)."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds))
@@ -65,6 +78,7 @@ def train_in_task(sample: DataFrame, train: Callable[[list[tuple[str, int]]], ob
     """
 
     def run(batches):
+        forget_worker_state()
         rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
         rows.sort(key=lambda r: (r[0], r[1]))
         model = train([(text, y) for _, y, text in rows])
@@ -101,12 +115,17 @@ def worker_state(key, make: Callable):
     operator remembered must not stay beside the next one's.
     """
     if key not in _WORKER:
-        _WORKER.clear()
-        pa.default_memory_pool().release_unused()
+        forget_worker_state()
         _WORKER[key] = make()
     return _WORKER[key]
 
 
+def forget_worker_state() -> None:
+    """Drop what an earlier operator left in this worker, before work that needs the room."""
+    _WORKER.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def text_slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int, list[str]]]:
     """``start, stop, texts`` of consecutive texts of about ``size`` bytes together, null as
     empty; only one slice is held as Python strings."""

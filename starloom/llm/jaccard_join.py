@@ -73,7 +73,7 @@ class WordHashes:
         self.powers = self.inverse = np.ones(1, np.uint64)
 
     def of(self, data: bytes) -> np.ndarray:
-        """One hash per word of UTF-8 ``data``; about a million bytes are looked at together."""
+        """One hash per word of UTF-8 ``data``; about BYTES of them are looked at together."""
         parts, begin = [], 0
         while begin < len(data):
             end = begin + BYTES
@@ -103,7 +103,7 @@ class WordHashes:
 
 
 #: Bytes whose words are hashed together, and where a word ends.
-BYTES = 1_000_000
+BYTES = 1 << 17
 WORD_END = re.compile(rb"[\x20\x09-\x0D]")
 
 

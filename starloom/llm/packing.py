@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm.common import text_slices, worker_state
+from starloom.llm.common import MEMO_BYTES, text_slices, worker_state
 from starloom.llm.pieces import PieceIds, library_encoder, plain
 
 BLOCK_BYTES = 2_000_000
@@ -157,7 +157,8 @@ def pack_block(block: Block, length: int, first_sequence: int, last: bool):
 
 
 def pack(
-    documents: DataFrame, tokenizer_file: str, end_id: int = 0, length: int = 1024, pattern: str | None = None, hashed: bool = False
+    documents: DataFrame, tokenizer_file: str, end_id: int = 0, length: int = 1024, pattern: str | None = None, hashed: bool = False,
+    memo_bytes: int = MEMO_BYTES,
 ) -> DataFrame:
     """Pieces ``doc_id, start, length, doc_tokens, sequence_id, offset, ids`` of all documents;
     ``hashed`` gives ``ids_crc32`` (unsigned) in the place of ``ids``.
@@ -165,18 +166,19 @@ def pack(
     Each document's ids are followed by ``end_id``; a null or empty text is that id alone.
     Every id lies in exactly one piece, sequences hold at most ``length`` ids without gaps, and
     a document's pieces follow each other. Repeated rows are packed each; other columns are not
-    carried. An empty table gives no pieces. ``pattern``: see ``pieces.library_encoder``.
+    carried. An empty table gives no pieces. ``pattern``: see ``pieces.library_encoder``;
+    ``memo_bytes``: what a worker may remember of pieces.
     """
     with open(tokenizer_file, "rb") as f:
         data = f.read()
     shared = documents.sparkSession.sparkContext.broadcast(data)
-    key = ("packing", zlib.crc32(data))
+    key = ("packing", zlib.crc32(data), memo_bytes)
     end = np.array([end_id], "<u4").tobytes()
     id_type = documents.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32" if hashed else "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = worker_state(key, lambda: PieceIds(library_encoder(shared.value, pattern)))
+        ids = worker_state(key, lambda: PieceIds(library_encoder(shared.value, pattern), memo_bytes))
         sequence, waiting, kind = TaskContext.get().partitionId() << 40, EMPTY, None
 
         def rows(last: bool) -> pa.RecordBatch:
@@ -203,7 +205,7 @@ def pack(
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {SCHEMA}, {last}")
 
 
-def op8_packing(spark: SparkSession, documents: DataFrame, tokenizer_file: str, pattern: str) -> DataFrame:
+def op8_packing(spark: SparkSession, documents: DataFrame, tokenizer_file: str, pattern: str, memo_bytes: int = MEMO_BYTES) -> DataFrame:
     """Pack all documents into sequences of at most 1024 ids."""
-    pieces = pack(documents, tokenizer_file, pattern=pattern, hashed=True)
+    pieces = pack(documents, tokenizer_file, pattern=pattern, hashed=True, memo_bytes=memo_bytes)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

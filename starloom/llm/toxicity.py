@@ -98,14 +98,15 @@ def train(sample: list[tuple[str, int]], settings: Settings = Settings()) -> Mod
     feature_word = np.repeat(np.arange(len(features)), [len(f) for f in features])
     feature = np.array([x for f in features for x in f], np.int64)
     # features of too few documents keep weight 0: they cannot be told from noise
-    word_docs = np.unique(words.astype(np.int64) * len(sample) + doc_of[sentence_of])
     starts = np.searchsorted(feature_word, np.arange(len(features) + 1))
     counts = np.diff(starts)
-    rows = word_docs // len(sample)
-    expand = np.repeat(np.arange(len(rows)), counts[rows])
-    offset = np.arange(len(expand)) - np.repeat(np.cumsum(counts[rows]) - counts[rows], counts[rows])
-    in_docs = np.unique(feature[starts[rows[expand]] + offset] * len(sample) + word_docs[expand] % len(sample))
-    frequent = np.bincount(in_docs // len(sample), minlength=settings.buckets) >= settings.min_documents
+    in_docs, edges = np.zeros(settings.buckets, np.int64), np.searchsorted(doc_of[sentence_of], np.arange(len(sample) + 1))
+    for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        rows = np.unique(words[begin:end])
+        n = counts[rows]
+        places = np.repeat(starts[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        in_docs[np.unique(feature[places])] += 1
+    frequent = in_docs >= settings.min_documents
     keep = frequent[feature]
     feature, feature_word = feature[keep], feature_word[keep]
 
