@@ -3,16 +3,20 @@
 Vectors are the integers floor(64 x). For a query q and a candidate c, both lifted by one
 coordinate ``sqrt(M - |c|^2)`` (the query by 0, M the largest candidate norm squared),
 ``|q - c|^2 = |q|^2 + M - 2 q.c``, so a large score is a small distance. Distances of all
-candidates to the pivots are computed once and stored beside the vectors. By the triangle
+candidates and queries to the pivots are computed once and stored beside the vectors. By the triangle
 inequality ``max over p of |d(q, p) - d(c, p)|`` bounds the distance from below and the score
-from above; a query takes the candidates of a block in the order of that bound, in growing
-batches, until its k-th best score is above every bound left. Bounds are loosened by a rounding
-margin, and ties with the k-th score are evaluated, so the result is exact.
-
-Candidates are packed into blocks of at most BLOCK rows. Queries are shared in chunks of at most
-CHUNK (a bounded size, one pass over the stored pivot table each). Every block returns its best
-k per query above a floor known beforehand (the k-th best among the pivots' own rows), which
-are then merged by an aggregation that keeps k per query in each partial step.
+from above.
+
+Queries are shared in chunks of at most about CHUNK rows and candidates in runs of about as many; every
+chunk meets every run in a cell of its own, which one task searches. Within a cell candidates lie in
+groups of GROUP rows with like distances to their nearest pivot, and the least and largest distance of a
+group to each pivot bound the scores of all its rows. A tile of queries takes the groups in the order of
+that bound, in growing batches, each with one matrix product for the queries whose k-th best score is
+not above the bound, until every k-th best score is above every bound left. Bounds are loosened by a
+rounding margin, and ties with the k-th score are evaluated, so the result is exact.
+
+A cell returns its best k per query above a floor known beforehand (the k-th best among the pivots'
+own sample), which are then merged by an aggregation that keeps k per query in each partial step.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.session import scratch_path
+from starloom.session import scratch_path, write_staged
 
 SCALE = 64
 #: The largest norm squared, and so score, that doubles hold exactly.
@@ -32,10 +36,14 @@ MOST = float(1 << 53)
 PIVOTS = 24
 #: Rows of the sample that pivots are chosen from.
 PIVOT_SAMPLE = 1_000
-BLOCK = 8_192
-CHUNK = 20_000
-#: Candidates evaluated first per block and query; doubles each turn.
-FIRST = 256
+#: Query rows of a chunk and, at most, their components in all.
+CHUNK, CHUNK_VALUES = 100_000, 6_400_000
+#: Candidates of a run at least, and runs that are made for any number of queries.
+BLOCK, RUNS = 8_192, 16
+#: Candidates of a group, and queries of a tile.
+GROUP, TILE = 64, 512
+#: Groups evaluated first per tile; doubles each turn up to the second number.
+FIRST, LARGEST = 4, 64
 
 
 def integers(vectors: DataFrame) -> DataFrame:
@@ -75,35 +83,65 @@ def exact_kind(largest: float) -> str:
     return "<f4" if largest < 1 << 22 else "<f8"
 
 
-def search_block(query_id, query, to_pivots, floor, ids, vectors, table, largest, k):
-    """The query's best ``k`` of a block as (score, id), ties to smaller ids.
+def group_ranges(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per pivot (rows) the least and the largest distance of each group of GROUP candidates."""
+    starts = np.arange(0, len(table), GROUP)
+    return np.minimum.reduceat(table, starts).T, np.maximum.reduceat(table, starts).T
 
-    ``table`` holds the candidates' distances to the pivots; scores below ``floor`` are not
-    wanted (k better ones are known elsewhere).
-    """
-    gap = np.abs(table[0] - to_pivots[0])
-    each = np.empty_like(gap)
-    for p in range(1, len(to_pivots)):
-        np.subtract(table[p], to_pivots[p], out=each)
-        np.maximum(gap, np.abs(each, out=each), out=gap)
-    norm = float(np.dot(query.astype(np.float64), query))
+
+def by_pivot(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The order of the nearest pivot, the distance to it and the id."""
+    return np.lexsort((ids, table.min(axis=1), table.argmin(axis=1)))
+
+
+def score_bounds(norms, to_pivots, low, high, largest: float) -> np.ndarray:
+    """For each query (rows) what no score in a group (columns) exceeds."""
+    gap = np.zeros((len(to_pivots), low.shape[1]), np.float32)
+    for p in range(len(low)):
+        np.maximum(gap, low[p] - to_pivots[:, p, None], out=gap)
+        np.maximum(gap, to_pivots[:, p, None] - high[p], out=gap)
+    both = (norms + largest)[:, None]
     # distances are kept in single precision: loosen them by far more than its rounding
-    loose = 1e-3 + 1e-6 * np.sqrt(norm + largest)
-    bound = (norm + largest - np.maximum(gap - loose, 0.0).astype(np.float64) ** 2) / 2 + 1e-6 * (norm + largest) + 1e-3
-    alive = np.flatnonzero((bound >= floor) & (ids != query_id))
-    order = alive[np.argsort(-bound[alive], kind="stable")]
-    scores, places, at, step = np.empty(0, vectors.dtype), np.empty(0, np.int64), 0, FIRST
-    while at < len(order) and bound[order[at]] >= floor:
-        part = order[at : at + step]
-        scores = np.concatenate([scores, vectors[part] @ query])
-        places = np.concatenate([places, part])
-        best = np.lexsort((ids[places], -scores))[:k]
-        scores, places = scores[best], places[best]
-        if len(scores) == k:
-            floor = max(floor, scores[-1])
-        at, step = at + step, 2 * step
-    keep = scores >= floor
-    return scores[keep], ids[places[keep]]
+    gap = np.maximum(gap - (1e-3 + 1e-6 * np.sqrt(both)), 0.0)
+    return (both - gap**2) / 2 + 1e-6 * both + 1e-3
+
+
+def search_tile(query_ids, queries, to_pivots, floors, ids, vectors, ranges, largest, k):
+    """The best ``k`` of the candidates for every query of a tile as (place of the query, score, id),
+    ties to smaller ids, and the number of scores computed.
+
+    Candidates lie in groups, whose distances to the pivots are within ``ranges``; scores below
+    ``floors`` are not wanted (k better ones are known elsewhere).
+    """
+    norms = (queries.astype(np.float64) ** 2).sum(axis=1)
+    bound = score_bounds(norms, to_pivots, *ranges, largest)
+    floor = floors.astype(vectors.dtype)
+    last, full = np.zeros(len(queries), np.int64), np.zeros(len(queries), bool)
+    places, scores, found = np.empty(0, np.int64), np.empty(0, vectors.dtype), np.empty(0, np.int64)
+    left, step, computed = np.argsort(-bound.max(axis=0), kind="stable"), FIRST, 0
+    while True:
+        left = left[(bound[:, left] >= floor[:, None]).any(axis=0)]
+        if not len(left):
+            return places, scores, found, computed
+        part, left, step = left[:step], left[step:], min(2 * step, LARGEST)
+        rows = np.flatnonzero((bound[:, part] >= floor[:, None]).any(axis=1))
+        those = (part[:, None] * GROUP + np.arange(GROUP)).ravel()
+        those = those[those < len(ids)]
+        product = queries[rows] @ vectors[those].T
+        computed += product.size
+        at = np.flatnonzero(product >= floor[rows, None])
+        r, i, s = rows[at // len(those)], ids[those[at % len(those)]], product.ravel()[at]
+        # of ties with the k-th best only smaller ids count
+        new = (i != query_ids[r]) & ((s > floor[r]) | ~full[r] | (i < last[r]))
+        places, scores, found = np.concatenate([places, r[new]]), np.concatenate([scores, s[new]]), np.concatenate([found, i[new]])
+        order = np.lexsort((found, -scores, places))
+        places, scores, found = places[order], scores[order], found[order]
+        keep = np.arange(len(places)) - np.searchsorted(places, places) < k
+        places, scores, found = places[keep], scores[keep], found[keep]
+        counts = np.bincount(places, minlength=len(queries))
+        full = counts == k
+        ends = np.cumsum(counts)[full] - 1
+        floor[full], last[full] = scores[ends], found[ends]
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -117,87 +155,88 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     fewer candidates gets all; empty tables give no rows.
     """
     spark = vectors.sparkSession
-    wide = integers(vectors).withColumn("dim", F.size("v"))
-    asked = integers(queries).withColumn("dim", F.size("v"))
-    rows = wide.select("vec_id", "v")
+    columns = [F.col("vec_id").cast("long").alias("vec_id"), "v", F.size("v").alias("dim")]
+    wide = integers(vectors).select(*columns, F.lit(False).alias("asks"))
+    both = wide.unionByName(integers(queries).select(*columns, F.lit(True).alias("asks")))
     # floor() of a double beyond the long range saturates, so the bound is taken before it is squared
     square = F.aggregate("v", F.lit(0.0), lambda s, e: s + e.cast("double") * e.cast("double"))
-    found = wide.unionByName(asked).agg(F.min("dim").alias("low"), F.max("dim").alias("high"), F.max(square).alias("largest")).collect()[0]
-    if found.low is None or wide.isEmpty():
+    sums = [F.min("dim").alias("low"), F.max("dim").alias("high"), F.max(square).alias("largest")]
+    found = both.agg(*sums, F.count_if("asks").alias("asked"), F.count_if(~F.col("asks")).alias("rows")).collect()[0]
+    if not found["rows"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if found.low != found.high:
         raise ValueError(f"vectors of {found.low} to {found.high} dimensions have no common inner product")
     if found.largest > MOST:
         raise ValueError("scores beyond 2^53 are not exact")
-    largest = float(found.largest)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).toArrow()
-    sampled = np.array(sample.column("v").to_pylist(), np.float64).reshape(sample.num_rows, -1)
+    if not found.asked:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    largest, dim = float(found.largest), found.high
+    sample = wide.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).toArrow()
+    sampled_ids = sample.column("vec_id").to_numpy()
+    sampled = np.array(sample.column("v").to_pylist(), np.float64).reshape(sample.num_rows, dim)
     pivots = choose_pivots(lift(sampled, largest), PIVOTS)
-    kind = exact_kind(largest)
+    kind, stored_kind = exact_kind(largest), "<i2" if largest < 1 << 30 else "<i4"
+
+    def floors_of(ids: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """The k-th best score of each query among the sampled rows but its own."""
+        floors = np.full(len(ids), -np.inf)
+        for i in range(0, len(ids) if len(sampled) >= k else 0, TILE):
+            scores = v[i : i + TILE] @ sampled.T
+            scores[ids[i : i + TILE, None] == sampled_ids] = -np.inf
+            floors[i : i + TILE] = np.partition(scores, len(sampled) - k, axis=1)[:, -k]
+        return floors
 
     def tabulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(i, BLOCK)
-                v = part.column(1).flatten().to_numpy().astype(np.float64).reshape(part.num_rows, -1)
-                table = np.ascontiguousarray(distances(lift(v, largest), pivots).T, np.float32)
-                values = [part.column(0).to_numpy().astype("<i8").tobytes(), v.astype(kind).tobytes(), table.tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in values], ["ids", "vectors", "table"])
-
-    path = scratch_path(spark, "pivot-table")
-    rows.mapInArrow(tabulate, "ids binary, vectors binary, table binary").write.option("compression", "none").parquet(path)
-    stored = spark.read.parquet(path)
-
-    asked = asked.select("vec_id", "v")
-    asked_path = scratch_path(spark, "queries")
-    # every query row has a number of its own, since ids may repeat; written, so the numbers stay
-    asked = asked.withColumn("number", F.monotonically_increasing_id())
-    asked.withColumn("chunk", F.pmod(F.xxhash64("number"), F.lit(max(1, -(-asked.count() // CHUNK))))).write.parquet(asked_path)
-    asked = spark.read.parquet(asked_path)
-    found = None
-    for chunk in range(asked.agg(F.max("chunk")).collect()[0][0] + 1 if asked.count() else 0):
-        part = asked.where(F.col("chunk") == chunk).toArrow()  # about CHUNK rows
-        best = _search_chunk(stored, part, pivots, sampled, sample.column("vec_id").to_numpy(), largest, k)
-        found = best if found is None else found.unionByName(best)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    order = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _search_chunk(stored: DataFrame, part: pa.Table, pivots, sampled, sampled_ids, largest: float, k: int) -> DataFrame:
-    query_ids, numbers = part.column("vec_id").to_numpy(), part.column("number").to_numpy()
-    queries = np.array(part.column("v").to_pylist(), np.float64).reshape(len(query_ids), -1)
-    # a floor for every query: the k-th best score among the sampled rows but its own
-    floors = np.full(len(query_ids), -np.inf)
-    for i in range(0, len(query_ids), 512):
-        scores = queries[i : i + 512] @ sampled.T
-        scores[query_ids[i : i + 512, None] == sampled_ids] = -np.inf
-        if scores.shape[1] >= k:
-            floors[i : i + 512] = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
-    lifted = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1)
-    kind = exact_kind(max(largest, float((queries**2).sum(axis=1).max(initial=0.0))))
-    shared = stored.sparkSession.sparkContext.broadcast((numbers, query_ids, queries.astype(kind), distances(lifted, pivots).astype(np.float32), floors))
-
-    stored_kind = exact_kind(largest)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked_numbers, asked_ids, asked, to_pivots, least = shared.value
-        names = ["number", "query_id", "vec_id", "score"]
+            ids, asks = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("vec_id", "asks"))
+            v = batch.column("v").flatten().to_numpy().astype(np.float64).reshape(len(ids), dim)
+            lifted = lift(v, largest)
+            lifted[asks, -1] = 0.0
+            table = distances(lifted, pivots).astype("<f4")
+            floors = np.full(len(ids), -np.inf)
+            floors[asks] = floors_of(ids[asks], v[asks])
+            cells = [pa.array([row.tobytes() for row in x], pa.binary()) for x in (v.astype(stored_kind), table)]
+            yield pa.RecordBatch.from_arrays([*batch.select(["vec_id", "asks"]).columns, *cells, pa.array(floors)], ["vec_id", "asks", "vector", "table", "floor"])
+
+    schema = "vec_id long, asks boolean, vector binary, table binary, floor double"
+    stored = both.select("vec_id", "asks", "v").mapInArrow(tabulate, schema)
+    # every row has a number of its own, since ids may repeat; written, so the numbers stay
+    stored = write_staged(stored.withColumn("number", F.monotonically_increasing_id()), scratch_path(spark, "pivot-table"))
+
+    chunks = -(-found.asked // max(1, min(CHUNK, CHUNK_VALUES // max(dim, 1))))
+    # as many copies of queries as of candidates, but no shorter runs than a block
+    runs = min(-(-found["rows"] // BLOCK), max(RUNS, found["rows"] * chunks // found.asked))
+    own = lambda n: F.pmod("number", F.lit(n)).cast("int")
+    each = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+    cell = F.when(F.col("asks"), F.transform(each(runs), lambda r: own(chunks) * runs + r)).otherwise(F.transform(each(chunks), lambda c: c * runs + own(runs)))
+    cells = stored.withColumn("cell", F.explode(cell)).repartitionById(max(chunks * runs, 2), F.col("cell"))
+
+    def search_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple] = []
         for batch in batches:
-            for ids, vectors, table in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.frombuffer(ids, "<i8")
-                vectors = np.frombuffer(vectors, stored_kind).reshape(len(ids), -1).astype(kind, copy=False)
-                table = np.frombuffer(table, "<f4").reshape(-1, len(ids))
-                out: list[tuple] = []
-                for q in range(len(asked_ids)):
-                    scores, found = search_block(asked_ids[q], asked[q], to_pivots[q], least[q], ids, vectors, table, largest, k)
-                    out.append((np.full(len(found), asked_numbers[q]), np.full(len(found), asked_ids[q]), found, scores.astype(np.int64)))
-                if out:
-                    columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names)
-
-    return stored.mapInArrow(run, "number long, query_id long, vec_id long, score long")
+            table, vectors = (b"".join(batch.column(n).to_pylist()) for n in ("table", "vector"))
+            table = np.frombuffer(table, "<f4").reshape(batch.num_rows, len(pivots))
+            vectors = np.frombuffer(vectors, stored_kind).reshape(batch.num_rows, dim).astype(kind)
+            parts.append((*(batch.column(n).to_numpy(zero_copy_only=False) for n in ("cell", "asks", "vec_id", "number", "floor")), table, vectors))
+        if not parts:
+            return
+        cell, asks, ids, numbers, floors, table, vectors = map(np.concatenate, zip(*parts, strict=True))
+        del parts
+        for c in np.unique(cell):
+            rest, tiles = (np.flatnonzero((cell == c) & (asks == a)) for a in (False, True))
+            rest, tiles = (x[by_pivot(table[x], ids[x])] for x in (rest, tiles))
+            if not len(rest):
+                continue
+            ranges, there, those = group_ranges(table[rest]), vectors[rest], ids[rest]
+            for i in range(0, len(tiles), TILE):
+                q = tiles[i : i + TILE]
+                places, scores, found, _ = search_tile(ids[q], vectors[q], table[q], floors[q], those, there, ranges, largest, k)
+                columns = numbers[q][places], ids[q][places], found, scores.astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["number", "query_id", "vec_id", "score"])
+
+    best = cells.mapInArrow(search_cells, "number long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op9_topk_search(spark: SparkSession, embeddings: DataFrame) -> DataFrame:

@@ -249,6 +249,46 @@ def test_search_in_chunks(spark, monkeypatch):
     assert sorted(tuple(r) for r in tk.op9_topk_search(spark, frame).collect()) == brute_top(rows, 20)
 
 
+def test_search_cells_hold_chunks_and_runs(spark, monkeypatch):
+    """Queries meet the candidates in tasks: only the sample for the pivots comes to the driver."""
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(0, 1000 if i % 3 else 1, 4).tolist()) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for name, value in (("PIVOT_SAMPLE", 50), ("CHUNK", 30), ("BLOCK", 300)):
+        monkeypatch.setattr(tk, name, value)
+    fetched = []
+    to_arrow = type(frame).toArrow
+    monkeypatch.setattr(type(frame), "toArrow", lambda self: fetched.append(to_arrow(self)) or fetched[-1])
+    got = sorted(tuple(r) for r in tk.op9_topk_search(spark, frame).collect())
+    assert got == brute_top(rows, 20)
+    assert [t.num_rows for t in fetched] == [50]
+
+
+def test_tile_leaves_out_far_groups():
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 300, (40, 16))
+    vectors = np.floor(centres[rng.integers(0, 40, 6000)] + rng.normal(0, 5, (6000, 16)))
+    ids, k = rng.permutation(6000), 10
+    largest = float((vectors**2).sum(axis=1).max())
+    lifted = tk.lift(vectors, largest)
+    pivots = tk.choose_pivots(lifted[:1000], tk.PIVOTS)
+    table = tk.distances(lifted, pivots).astype(np.float32)
+    asked = vectors[:64]
+    to_pivots = tk.distances(np.concatenate([asked, np.zeros((64, 1))], axis=1), pivots).astype(np.float32)
+    order = tk.by_pivot(table, ids)
+    ranges = tk.group_ranges(table[order])
+    computed = 0
+    for q in range(64):  # a query each, and below all in one tile
+        one = slice(q, q + 1)
+        *_, n = tk.search_tile(ids[one], asked[one], to_pivots[one], np.full(1, -np.inf), ids[order], vectors[order], ranges, largest, k)
+        computed += n
+    assert computed < 0.5 * 64 * 6000
+    places, scores, found, _ = tk.search_tile(ids[:64], asked, to_pivots, np.full(64, -np.inf), ids[order], vectors[order], ranges, largest, k)
+    for q in range(64):
+        best = sorted((-int(asked[q] @ v), int(i)) for v, i in zip(vectors, ids, strict=True) if i != ids[q])[:k]
+        assert [(-int(s), int(i)) for s, i in zip(scores[places == q], found[places == q], strict=True)] == best
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     docs, out = table(spark, "/root/testdata/sf0.001", "documents"), []
